@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 # Plain or scientific notation in ASCII digits.
 NUMBER_FORM = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]{1,4})?\z"
-_DECIMALS = r"\.([0-9]*)"
-_EXPONENT = r"[eE]([+-]?[0-9]+)\z"
+# A positive plain number with no digit but zero after the second decimal.
+_PLAIN_CENTS = r"^\+?(?=[0-9.]*[1-9])[0-9]*(?:\.[0-9]{0,2}0*)?\z"
+_SCIENTIFIC = r"^[+-]?(?:[0-9]+\.?([0-9]*)|\.([0-9]+))[eE]([+-]?[0-9]{1,4})\z"
 EXACT_SCALE = 18
 
 
@@ -18,23 +19,27 @@ def is_finite(value: Column) -> Column:
 
 def lenient_double(text: Column) -> Column:
     """The finite number a text spells, else null."""
-    value = F.when(text.rlike(NUMBER_FORM), text.try_cast("double"))
-    return F.when(is_finite(value), value)
+    value = F.when(text.rlike(NUMBER_FORM), text).try_cast("double")
+    return F.nullif(F.nullif(value, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def money_cents(text: Column) -> Column:
     """Positive whole cents as bigint; null for anything else.
 
-    The text is read as an exact decimal. Spark would round digits beyond the
-    decimal's scale, so a text spelling more than 18 decimals is refused.
+    The text is read as an exact decimal. In scientific notation a text that
+    spells more than 18 decimals is refused, because Spark would round it.
     """
-    decimals = F.length(F.regexp_extract(text, _DECIMALS, 1))
-    exponent = F.coalesce(F.regexp_extract(text, _EXPONENT, 1).try_cast("int"), F.lit(0))
-    exact = text.rlike(NUMBER_FORM) & (decimals - exponent <= EXACT_SCALE)
-    amount = F.when(exact, text.try_cast(f"decimal(38,{EXACT_SCALE})"))
-    cents = amount * F.lit(100).cast("decimal(3,0)")
-    whole = (amount > 0) & (cents == F.floor(cents))
-    return F.when(whole, cents.try_cast("bigint"))
+    hundred = F.lit(100).cast("decimal(3,0)")
+    amount = F.when(text.rlike(_PLAIN_CENTS), text).try_cast(f"decimal(38,{EXACT_SCALE})")
+    plain = (amount * hundred).try_cast("bigint")
+    decimals = F.length(F.regexp_extract(text, _SCIENTIFIC, 1)) + F.length(
+        F.regexp_extract(text, _SCIENTIFIC, 2)
+    )
+    exponent = F.regexp_extract(text, _SCIENTIFIC, 3).try_cast("int")
+    exact = F.when(decimals - exponent <= EXACT_SCALE, text)
+    scaled = F.array(exact.try_cast(f"decimal(38,{EXACT_SCALE})") * hundred)
+    whole = F.filter(scaled, lambda cents: (cents > 0) & (cents == F.floor(cents)))
+    return F.when(text.rlike(_SCIENTIFIC), F.get(whole, 0).try_cast("bigint")).otherwise(plain)
 
 
 def canonical_number(value: Column) -> Column:

@@ -18,6 +18,9 @@ WHITESPACE = "".join(
     ])
 )
 _SPACES = f"[{WHITESPACE}]+"
+# Cheap tests that let tidy text, nearly all of it, skip the slow functions.
+_ODD_EDGE = r"^[^!-~]|[^!-~]\z"
+_ODD = r"[^ -~]|  |^ | \z"
 _NON_ASCII = r"[^\x00-\x7F]"
 
 
@@ -42,13 +45,12 @@ def has_non_ascii(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.trim(text, F.lit(WHITESPACE))
+    return F.when(text.rlike(_ODD_EDGE), F.trim(text, F.lit(WHITESPACE))).otherwise(text)
 
 
 def blank_to_null(text: Column) -> Column:
     """Strip, then treat empty text as missing."""
-    stripped = strip(text)
-    return F.when(stripped != "", stripped)
+    return F.nullif(strip(text), F.lit(""))
 
 
 def is_blank(text: Column) -> Column:
@@ -62,5 +64,6 @@ def normalize_text(text: Column, ascii_only: bool = False) -> Column:
     which keeps the whole expression in the JVM.
     """
     composed = text if ascii_only else nfkc(text)
-    tidy = F.upper(strip(F.regexp_replace(composed, _SPACES, " ")))
-    return F.when(tidy != "", tidy)
+    spaced = F.trim(F.regexp_replace(composed, _SPACES, " "))
+    tidy = F.when(composed.rlike(_ODD), spaced).otherwise(composed)
+    return F.nullif(F.upper(tidy), F.lit(""))

@@ -1,12 +1,15 @@
-"""Exact group quantiles that never hold a group in one task.
-
-Every pass is a counting aggregate with a map-side combine. The first pass
-counts each group's values in buckets whose edges depend on the value alone
-and are about 1.6 % apart, so a group has a bounded number of buckets whatever
-its size. Counting up the buckets tells which of them hold the wanted ranks.
-Only the values in those few buckets are looked at again: narrowed by equal
-steps while a bucket still holds many rows, then counted value by value. Equal
-values collapse in the counts, so a single repeated value costs one row.
+"""Exact group quantiles that never hold an unbounded group in one task.
+
+Group sizes are counted first. When every group is small, Spark's own exact
+``percentile`` does the work, its buffers bounded by the checked size.
+Otherwise the quantiles are found by counting: every pass is an aggregate with a
+map-side combine. The first one counts each group's values in buckets whose
+edges depend on the value alone and are about 1.6 % apart, so a group has a
+bounded number of buckets whatever its size. Counting up the buckets tells
+which of them hold the wanted ranks. Only the values in those few buckets are
+looked at again: narrowed by equal steps while a bucket still holds many rows,
+then counted value by value. Equal values collapse in the counts, so a single
+repeated value costs one row.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from siftworks.staging import Staged, Staging
 
 LOG_STEPS = 64
 LINEAR_STEPS = 4096
+# Rows a group may have for its values to be held in one aggregation buffer.
+SMALL_GROUP_ROWS = 50_000
 # Rows one bracket may hold when its distinct values are finally listed.
 BRACKET_ROWS = 1_000_000
 
@@ -35,6 +40,7 @@ def exact_quantiles(
     staging: Staging,
     *,
     weight: str | None = None,
+    small_group_rows: int | None = None,
     bracket_rows: int | None = None,
 ) -> Staged:
     """Staged table of ``keys``, ``n`` and ``q``, the linearly interpolated quantiles.
@@ -42,18 +48,30 @@ def exact_quantiles(
     ``value`` must be a finite double. ``weight`` counts repeats of a value.
     ``values`` is read a few times, so it should be cheap to read.
     """
-    keys, limit = list(keys), bracket_rows or BRACKET_ROWS
+    keys = list(keys)
+    small = SMALL_GROUP_ROWS if small_group_rows is None else small_group_rows
+    limit = bracket_rows or BRACKET_ROWS
     rows = values.select(
         *keys,
         F.col(value).cast("double").alias(_X),
         (F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")).alias(_C),
     )
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    if (sizes.agg(F.max("rows")).first()[0] or 0) <= small:
+        return staging.write(_buffered(rows, keys, probabilities), "quantiles")
     brackets = staging.write(_first_brackets(rows, keys, probabilities), "brackets")
     while _widest(brackets) > limit:
         brackets = staging.write(_narrow(rows, keys, brackets), "brackets")
     return staging.write(_settle(rows, keys, brackets, probabilities), "quantiles")
 
 
+def _buffered(rows: DataFrame, keys: list[str], probabilities: Sequence[float]) -> DataFrame:
+    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
+    return rows.groupBy(*keys).agg(
+        F.sum(_C).alias("n"), F.percentile(_X, wanted, F.col(_C)).alias("q")
+    )
+
+
 def _log_bucket(x: Column) -> Column:
     """A bucket number that never decreases as the value grows."""
     step = F.floor(F.log(F.abs(x)) * LOG_STEPS).cast("bigint")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from siftworks.config import JobConfig
 from siftworks.functions.identity import record_id
+from siftworks.sources.tables import read_table
 
 FEED_CONFIG = JobConfig(
     start_month="1995-01", end_month="2001-12", reference_month="1995-01",
@@ -22,8 +23,9 @@ FEED_NAME, FEED_DIGEST = "sales_feed", "derived"
 
 def sales_feed(spark: SparkSession, sf_dir: str, *, supplied_term: bool = False) -> DataFrame:
     """All-text attributes with lineage; ``supplied_term`` adds ``remaining_lease``."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice"
+    orders = read_table(
+        spark, f"{sf_dir}/orders.parquet",
+        ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice"],
     )
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment"

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Skips the per-expression call-site capture while plans are built.
+    "spark.sql.dataFrameQueryContext.enabled": "false",
 }
 
 
