@@ -16,21 +16,29 @@ class HashCollision(RuntimeError):
 
 
 def duplicate_index(
-    rows: DataFrame, key_hash: str, key: str, order: Sequence[Column], row_id: str, staging: Staging
+    rows: DataFrame,
+    key_hash: str,
+    key: Column,
+    order: Sequence[Column],
+    row_id: str,
+    staging: Staging,
 ) -> Staged:
     """Staged table of the repeated keys: ``key_hash``, ``n`` and ``winner``.
 
     ``order`` lists ascending sort expressions that make a total order; the
     first row wins. Copies are combined before the shuffle, so a key holding
-    most of the rows costs one row per map task.
+    most of the rows costs one row per map task. A second, longer digest of the
+    key shows when two keys share ``key_hash``, without shuffling the keys.
     """
+    witness = F.sha2(key, 512)
     rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.col(row_id).alias("id"))
     index = (
-        rows.groupBy(key_hash)
+        rows.withColumn("_witness", witness)
+        .groupBy(key_hash)
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min(rank)["id"].alias("winner"),
-            (F.min(key) != F.max(key)).alias("collides"),
+            (F.min("_witness") != F.max("_witness")).alias("collides"),
         )
         .where(F.col("n") > 1)
     )
@@ -58,3 +66,14 @@ def mark_duplicates(
     return marked.withColumn(
         "_reference_source_record_id", F.when(loses, F.col("winner"))
     ).drop("n", "winner")
+
+
+def winners(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[Column], columns: Sequence[str]
+) -> DataFrame:
+    """The first row per key, as ``keys``, ``columns`` and the number of copies ``n``."""
+    rank = F.struct(
+        *[c.alias(f"o{i}") for i, c in enumerate(order)], F.struct(*columns).alias("row")
+    )
+    best = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(rank)["row"].alias("row"))
+    return best.select(*keys, "row.*", "n")

@@ -41,8 +41,7 @@ def with_duplicates(assessed: DataFrame, staging: Staging, **options) -> tuple[D
     """Mark every valid row that loses to a better copy of the same key."""
     live = assessed.where(F.col("_quarantine_stage").isNull())
     index = duplicate_index(
-        live.withColumn("_canonical_key", sales.composite_key(live)),
-        "_key_hash", "_canonical_key", sales.best_first(), ROW_ID, staging,
+        live, "_key_hash", sales.composite_key(live), sales.best_first(), ROW_ID, staging
     )
     marked = mark_duplicates(
         assessed, index, "_key_hash", ROW_ID,
