@@ -171,9 +171,9 @@ means AS (
 coded AS (
   SELECT *, CAST(s AS DOUBLE) / (gn * 100) AS mean,
     'S' || left(lpad(regexp_replace(block, '[^0-9]', '', 'g'),
-                     greatest(3, length(regexp_replace(block, '[^0-9]', '', 'g'))), '0'), 3)
+                     CAST(greatest(3, length(regexp_replace(block, '[^0-9]', '', 'g'))) AS INTEGER), '0'), 3)
         || left(lpad(CAST(s // (gn * 100) AS VARCHAR),
-                     greatest(2, length(CAST(s // (gn * 100) AS VARCHAR))), '0'), 2)
+                     CAST(greatest(2, length(CAST(s // (gn * 100) AS VARCHAR))) AS INTEGER), '0'), 2)
         || right(month, 2) || left(town, 1) AS code
   FROM means
 ),
@@ -223,7 +223,7 @@ def _profile_sql() -> str:
             stats = (
                 f"count({x}) AS parseable, round(avg({x}), 4) AS mean,"
                 f" round(stddev_samp({x}), 4) AS std, round(quantile_cont({x}, 0.5), 4) AS p50,"
-                " CAST(NULL AS VARCHAR) AS top_value, CAST(NULL AS BIGINT) AS top_rows"
+                " CAST(NULL AS VARCHAR) AS top_value, CAST(0 AS BIGINT) AS top_rows"
             )
         else:
             top = (
@@ -286,9 +286,9 @@ GROUP BY c, v"""),
     "storey_bounds": _feed("""
 SELECT src AS _source_row, CAST(substr(storey_range, 1, 2) AS BIGINT) AS low,
   CAST(substr(storey_range, 7, 2) AS BIGINT) AS high FROM feed"""),
-    "money_cents": _pipeline("SELECT src AS _source_row, cents FROM timed"),
+    "money_cents": _pipeline("SELECT src AS _source_row, coalesce(cents, -1) AS cents FROM timed"),
     "provided_duration_parse": _pipeline(
-        "SELECT src AS _source_row, provided AS months FROM termed", supplied=True
+        "SELECT src AS _source_row, coalesce(provided, -1) AS months FROM termed", supplied=True
     ),
     "record_ids": _feed("SELECT src AS _source_row, rid AS _source_record_id FROM feed"),
     "canonical_key_hash": _pipeline(
@@ -314,7 +314,7 @@ WHERE doc_id <> kept_doc_id""",
     "peer_level_counts": _pipeline("""
 SELECT peer_level, count(*) AS "rows" FROM cleaned GROUP BY peer_level"""),
     "anomaly_rows": _pipeline(f"""
-SELECT src AS _source_row, round(ppsqm, 4) AS price_per_sqm, {_EVIDENCE}
+SELECT src AS _source_row, ppsqm AS price_per_sqm, {_EVIDENCE}
 FROM scored WHERE flagged"""),
     "event_value_fences": """
 WITH e AS (SELECT event_id, event_type, strftime(ts, '%Y-%m-%d') AS day, "value" AS v,
@@ -344,9 +344,10 @@ FROM valid"""),
     "unit_price": _pipeline("""
 SELECT src AS _source_row, y AS transaction_year, m AS transaction_month,
   CASE WHEN month < '1995-03' THEN 'approval' ELSE 'registration' END AS date_basis,
-  round(ppsqm, 4) AS price_per_sqm FROM valid"""),
+  ppsqm AS price_per_sqm FROM valid"""),
     "term_comparison": _pipeline("""
-SELECT src AS _source_row, provided AS provided_months, provided - months AS difference_months,
+SELECT src AS _source_row, coalesce(provided, -1) AS provided_months,
+  coalesce(provided - months, 0) AS difference_months,
   CASE WHEN provided IS NULL THEN 'source value absent'
        WHEN abs(provided - months) > 12 THEN 'review: difference exceeds 12 months'
        ELSE 'within year/month precision allowance' END AS note
@@ -354,7 +355,7 @@ FROM valid""", supplied=True),
     "lease_review": _pipeline("""
 SELECT src AS _source_row, provided - months AS difference_months FROM decisions
 WHERE stage = 'cleaned' AND abs(provided - months) > 12""", supplied=True),
-    "group_average": _pipeline("SELECT src AS _source_row, round(mean, 4) AS group_average FROM coded"),
+    "group_average": _pipeline("SELECT src AS _source_row, mean AS group_average FROM coded"),
     "business_identifier": _pipeline("SELECT src AS _source_row, code AS identifier FROM coded"),
     "hashed_records": _pipeline("""
 SELECT src AS _source_row, sha256(code) AS resale_identifier_hash,

@@ -22,26 +22,40 @@ from siftworks.staging import Staging
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _or(value, default: int):
+    return F.coalesce(value, F.lit(default).cast("bigint"))
+
+
 def _assessed(spark: SparkSession, sf_dir: str, supplied_term: bool = False) -> DataFrame:
-    """Assessed feed rows as one narrow plan; only the reference month is staged."""
+    """Assessed feed rows: one narrow plan over the staged master table."""
+    staging = Staging(spark)
     feed = sales_feed(spark, sf_dir, supplied_term=supplied_term)
-    ascii_columns = plan.ascii_text_columns(feed)
-    known = plan.learn_reference(feed, FEED_CONFIG, Staging(spark), ascii_columns)
-    return sales.assess(feed, known, FEED_CONFIG, ascii_columns=ascii_columns)
+    master = staging.write(feed, "master").frame
+    ascii_columns = plan.ascii_text_columns(master)
+    known = plan.learn_reference(master, FEED_CONFIG, staging, ascii_columns)
+    return sales.assess(master, known, FEED_CONFIG, ascii_columns=ascii_columns)
 
 
 def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan.marked_table(sales_feed(spark, sf_dir), FEED_CONFIG, Staging(spark))[0]
+    staging = Staging(spark)
+    master = staging.write(sales_feed(spark, sf_dir), "master").frame
+    return plan.marked_table(master, FEED_CONFIG, staging)[0]
 
 
-def _decided(spark: SparkSession, sf_dir: str, supplied_term: bool = False) -> plan.Decisions:
+def _decided(
+    spark: SparkSession,
+    sf_dir: str,
+    supplied_term: bool = False,
+    staging: Staging | None = None,
+) -> plan.Decisions:
+    staging = staging or Staging(spark)
     feed = sales_feed(spark, sf_dir, supplied_term=supplied_term)
-    return plan.decide(feed, FEED_CONFIG, Staging(spark))
+    return plan.decide(staging.write(feed, "master").frame, FEED_CONFIG, staging)
 
 
 def _transformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = Staging(spark)
-    decided = plan.decide(sales_feed(spark, sf_dir), FEED_CONFIG, staging)
+    decided = _decided(spark, sf_dir, staging=staging)
     cleaned = staging.write(decided.cleaned, "cleaned").frame
     return plan.transform(cleaned, staging)
 
@@ -92,15 +106,13 @@ def storey_bounds(spark, sf_dir):
 
 def money_cents(spark, sf_dir):
     feed = sales_feed(spark, sf_dir)
-    return feed.select("_source_row", numbers.money_cents(F.col("resale_price")).alias("cents"))
+    return feed.select("_source_row", _or(numbers.money_cents(F.col("resale_price")), -1).alias("cents"))
 
 
 def provided_duration_parse(spark, sf_dir):
     feed = sales_feed(spark, sf_dir, supplied_term=True)
-    supplied = F.col(sales.SUPPLIED_TERM)
-    return feed.select(
-        "_source_row", terms.supplied_months(supplied, FEED_CONFIG.term_months).alias("months")
-    )
+    months = terms.supplied_months(F.col(sales.SUPPLIED_TERM), FEED_CONFIG.term_months)
+    return feed.select("_source_row", _or(months, -1).alias("months"))
 
 
 def record_ids(spark, sf_dir):
@@ -172,7 +184,7 @@ def peer_level_counts(spark, sf_dir):
 def anomaly_rows(spark, sf_dir):
     rows = _decided(spark, sf_dir).frame.where(F.col("_quarantine_stage") == "anomaly")
     return rows.select(
-        "_source_row", F.round("price_per_sqm", 4).alias("price_per_sqm"), *_evidence()
+        "_source_row", "price_per_sqm", *_evidence()
     )
 
 
@@ -201,7 +213,7 @@ def unit_price(spark, sf_dir):
     return rows.select(
         "_source_row", "transaction_year", "transaction_month",
         F.col("_date_basis").alias("date_basis"),
-        F.round("price_per_sqm", 4).alias("price_per_sqm"),
+        "price_per_sqm",
     )
 
 
@@ -209,8 +221,8 @@ def term_comparison(spark, sf_dir):
     rows = _assessed(spark, sf_dir, supplied_term=True)
     return rows.where(F.col("_quarantine_stage").isNull()).select(
         "_source_row",
-        F.col("_provided_lease_months").alias("provided_months"),
-        F.col("_provided_lease_difference_months").alias("difference_months"),
+        _or(F.col("_provided_lease_months"), -1).alias("provided_months"),
+        _or(F.col("_provided_lease_difference_months"), 0).alias("difference_months"),
         F.col("_lease_comparison_note").alias("note"),
     )
 
@@ -224,7 +236,7 @@ def lease_review(spark, sf_dir):
 
 def group_average(spark, sf_dir):
     return _transformed(spark, sf_dir).select(
-        "_source_row", F.round("group_average_resale_price", 4).alias("group_average")
+        "_source_row", F.col("group_average_resale_price").alias("group_average")
     )
 
 
@@ -300,7 +312,7 @@ def column_profile(spark, sf_dir):
         F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"),
         F.round("p50", 4).alias("p50"),
         F.get("top_values", 0)["value"].alias("top_value"),
-        F.get("top_values", 0)["n"].alias("top_rows"),
+        _or(F.get("top_values", 0)["n"], 0).alias("top_rows"),
     )
 
 

@@ -34,10 +34,13 @@ class Reference:
 
     def mark_known(self, rows: DataFrame, columns: Sequence[str], flag) -> DataFrame:
         """Add a boolean ``flag(column)`` per column: is the value in its domain?"""
+        rows = rows.withColumns({
+            flag(c): F.coalesce(F.col(c).isin(self.literals[c]), F.lit(False))
+            for c in columns
+            if c in self.literals
+        })
         for column in columns:
             if column in self.literals:
-                known = F.col(column).isin(self.literals[column])
-                rows = rows.withColumn(flag(column), F.coalesce(known, F.lit(False)))
                 continue
             domain = self.frame.where(F.col("column") == column).select(
                 F.col("value").alias(column), "n"
