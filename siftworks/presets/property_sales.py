@@ -200,12 +200,12 @@ def key_columns(columns: Sequence[str]) -> list[str]:
     return sorted(c for c in columns if c != AMOUNT)
 
 
-def composite_key(rows: DataFrame) -> Column:
+def composite_key(rows: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """Canonical JSON of every source column except the price."""
     doubles = {f.name for f in rows.schema.fields if f.dataType.simpleString() == "double"}
     return identity.canonical_key({
         c: numbers.canonical_number(F.col(c)) if c in doubles else F.col(c)
-        for c in key_columns(source_columns_of(rows))
+        for c in key_columns(columns or source_columns_of(rows))
     })
 
 

@@ -18,6 +18,9 @@ from siftworks.sources import files
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a fresh local one only for local masters."""
     folder = spark.conf.get(CHECKPOINT_KEY, None)
@@ -25,9 +28,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"Set {CHECKPOINT_KEY} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="siftworks-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="siftworks-")
+    return _local_folders[application]
 
 
 class Staged:
