@@ -30,14 +30,17 @@ def _or(value, default: int):
     return F.coalesce(value, F.lit(default).cast("bigint"))
 
 
-def _assessed(spark: SparkSession, sf_dir: str, supplied_term: bool = False) -> DataFrame:
-    """Assessed feed rows: one narrow plan over the staged master table."""
+def _assessed(
+    spark: SparkSession, sf_dir: str, *columns: str, supplied_term: bool = False
+) -> DataFrame:
+    """The named columns of the assessed feed, staged so that filters do not repeat the rules."""
     staging = Staging(spark)
     feed = sales_feed(spark, sf_dir, supplied_term=supplied_term)
     master = staging.write(feed, "master").frame
     ascii_columns = plan.ascii_text_columns(master)
     known = plan.learn_reference(master, FEED_CONFIG, staging, ascii_columns)
-    return sales.assess(master, known, FEED_CONFIG, ascii_columns=ascii_columns)
+    rows = sales.assess(master, known, FEED_CONFIG, ascii_columns=ascii_columns)
+    return staging.write(rows.select("_source_row", "_quarantine_stage", *columns), "rows").frame
 
 
 def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,8 +86,8 @@ def normalized_text(spark, sf_dir):
 
 
 def validation_reasons(spark, sf_dir):
-    rejected = _assessed(spark, sf_dir).where(F.col("_quarantine_stage") == "validation")
-    return rejected.select(
+    rows = _assessed(spark, sf_dir, "_quarantine_reasons")
+    return rows.where(F.col("_quarantine_stage") == "validation").select(
         "_source_row", F.to_json("_quarantine_reasons").alias("quarantine_reasons")
     )
 
@@ -124,7 +127,7 @@ def record_ids(spark, sf_dir):
 
 
 def canonical_key_hash(spark, sf_dir):
-    rows = _assessed(spark, sf_dir).where(F.col("_quarantine_stage").isNull())
+    rows = _assessed(spark, sf_dir, "_key_hash").where(F.col("_quarantine_stage").isNull())
     return rows.select("_source_row", "_key_hash").withColumnRenamed("_key_hash", "key_hash")
 
 
@@ -205,15 +208,18 @@ def event_value_fences(spark, sf_dir):
 
 
 def remaining_term(spark, sf_dir):
-    rows = _assessed(spark, sf_dir).where(F.col("_quarantine_stage").isNull())
-    return rows.select(
-        "_source_row", "remaining_lease_total_months", "remaining_lease_years",
-        "remaining_lease_months", "remaining_lease_years_months",
-    )
+    columns = [
+        "remaining_lease_total_months", "remaining_lease_years", "remaining_lease_months",
+        "remaining_lease_years_months",
+    ]
+    rows = _assessed(spark, sf_dir, *columns).where(F.col("_quarantine_stage").isNull())
+    return rows.select("_source_row", *columns)
 
 
 def unit_price(spark, sf_dir):
-    rows = _assessed(spark, sf_dir).where(F.col("_quarantine_stage").isNull())
+    rows = _assessed(
+        spark, sf_dir, "transaction_year", "transaction_month", "_date_basis", "price_per_sqm"
+    ).where(F.col("_quarantine_stage").isNull())
     return rows.select(
         "_source_row", "transaction_year", "transaction_month",
         F.col("_date_basis").alias("date_basis"),
@@ -222,7 +228,10 @@ def unit_price(spark, sf_dir):
 
 
 def term_comparison(spark, sf_dir):
-    rows = _assessed(spark, sf_dir, supplied_term=True)
+    rows = _assessed(
+        spark, sf_dir, "_provided_lease_months", "_provided_lease_difference_months",
+        "_lease_comparison_note", supplied_term=True,
+    )
     return rows.where(F.col("_quarantine_stage").isNull()).select(
         "_source_row",
         _or(F.col("_provided_lease_months"), -1).alias("provided_months"),

@@ -35,12 +35,16 @@ def build_reference(master: DataFrame, config: JobConfig, staging: Staging) -> R
 
 
 def validate(
-    master: DataFrame, reference: Reference, config: JobConfig
+    master: DataFrame, reference: Reference, config: JobConfig, staging: Staging
 ) -> tuple[DataFrame, DataFrame]:
-    """Typed accepted rows, and rejected rows in their original text with every reason."""
-    rows = sales.assess(
-        master, reference, config, ascii_columns=plan.ascii_text_columns(master)
-    )
+    """Typed accepted rows, and rejected rows in their original text with every reason.
+
+    The assessed rows are staged, so that later filters do not repeat the rules.
+    """
+    ascii_columns = plan.ascii_text_columns(master)
+    rows = staging.write(
+        sales.assess(master, reference, config, ascii_columns=ascii_columns), "assessed"
+    ).frame
     accepted = rows.where(F.col("_quarantine_stage").isNull())
     rejected = rows.where(F.col("_quarantine_stage").isNotNull()).select(
         "_raw.*", *sales.LINEAGE, "_quarantine_stage", "_quarantine_reasons"

@@ -67,7 +67,7 @@ def judge(frame, staging):
     """Accepted and rejected rows against the domains of the base record."""
     def run(*changes, config=CONFIG):
         reference = stages.build_reference(frame(), config, staging)
-        return stages.validate(frame(*changes), reference, config)
+        return stages.validate(frame(*changes), reference, config, staging)
 
     return run
 
