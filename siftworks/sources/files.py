@@ -72,6 +72,10 @@ def write_json(spark: SparkSession, path: str, value: Any) -> None:
 
 
 def read_json(spark: SparkSession, path: str) -> Any:
-    # One small document: a run manifest or a report of a few kilobytes.
-    row = spark.read.text(path, wholetext=True).first()
-    return json.loads(row.value)
+    """One small document, such as a run marker."""
+    fs, location = _open(spark, path)
+    stream = fs.open(location)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
