@@ -30,22 +30,25 @@ def _or(value, default: int):
     return F.coalesce(value, F.lit(default).cast("bigint"))
 
 
+def _master(feed: DataFrame, staging: Staging) -> plan.Master:
+    return plan.write_master(feed, f"{staging.root}/master")
+
+
 def _assessed(
     spark: SparkSession, sf_dir: str, *columns: str, supplied_term: bool = False
 ) -> DataFrame:
     """The named columns of the assessed feed, staged so that filters do not repeat the rules."""
     staging = Staging(spark)
     feed = sales_feed(spark, sf_dir, supplied_term=supplied_term)
-    master = staging.write(feed, "master").frame
-    ascii_columns = plan.ascii_text_columns(master)
-    known = plan.learn_reference(master, FEED_CONFIG, staging, ascii_columns)
-    rows = sales.assess(master, known, FEED_CONFIG, ascii_columns=ascii_columns)
+    master = _master(feed, staging)
+    known = plan.learn_reference(master.frame, FEED_CONFIG, staging, master.ascii_columns)
+    rows = sales.assess(master.frame, known, FEED_CONFIG, ascii_columns=master.ascii_columns)
     return staging.write(rows.select("_source_row", "_quarantine_stage", *columns), "rows").frame
 
 
 def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = Staging(spark)
-    master = staging.write(sales_feed(spark, sf_dir), "master").frame
+    master = _master(sales_feed(spark, sf_dir), staging)
     return plan.marked_table(master, FEED_CONFIG, staging)[0]
 
 
@@ -57,7 +60,7 @@ def _decided(
 ) -> plan.Decisions:
     staging = staging or Staging(spark)
     feed = sales_feed(spark, sf_dir, supplied_term=supplied_term)
-    return plan.decide(staging.write(feed, "master").frame, FEED_CONFIG, staging)
+    return plan.decide(_master(feed, staging), FEED_CONFIG, staging)
 
 
 def _transformed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,8 +75,9 @@ def quality_by_month(spark, sf_dir):
 
 
 def reference_domains(spark, sf_dir):
-    feed = sales_feed(spark, sf_dir)
-    known = plan.learn_reference(feed, FEED_CONFIG, Staging(spark), plan.ascii_text_columns(feed))
+    staging = Staging(spark)
+    master = _master(sales_feed(spark, sf_dir), staging)
+    known = plan.learn_reference(master.frame, FEED_CONFIG, staging, master.ascii_columns)
     return known.frame.select("column", "value", F.col("n").alias("rows"))
 
 
@@ -97,10 +101,12 @@ def reason_histogram(spark, sf_dir):
 
 
 def unseen_categories(spark, sf_dir):
-    feed = sales_feed(spark, sf_dir)
-    ascii_columns = plan.ascii_text_columns(feed)
-    known = plan.learn_reference(feed, FEED_CONFIG, Staging(spark), ascii_columns)
-    return reference.unseen_categories(feed, known, sales.CATEGORIES, ascii_columns)
+    staging = Staging(spark)
+    master = _master(sales_feed(spark, sf_dir), staging)
+    known = plan.learn_reference(master.frame, FEED_CONFIG, staging, master.ascii_columns)
+    return reference.unseen_categories(
+        master.frame, known, sales.CATEGORIES, master.ascii_columns
+    )
 
 
 def storey_bounds(spark, sf_dir):
@@ -349,9 +355,15 @@ def _feed_as_csv(spark: SparkSession, sf_dir: str, staging: Staging) -> str:
     feed = sales_feed(spark, sf_dir)
     rows = feed.select(*sales.source_columns(feed), F.substring("month", 1, 4).alias("feed_year"))
     folder = f"{staging.root}/csv"
-    rows.hint("rebalance", "feed_year").write.partitionBy("feed_year").option(
-        "header", True
-    ).option("escape", '"').csv(folder)
+    (
+        rows.hint("rebalance", "feed_year")
+        .write.partitionBy("feed_year")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(folder)
+    )
     return folder
 
 

@@ -12,12 +12,16 @@ from siftworks.staging import Staged
 # A table may be broadcast whole up to both of these measured sizes.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Files this small cannot hold many rows with different keys; no need to count.
+TINY_BYTES = 1024 * 1024
 # At most this many keys can each hold more than 1/HOT_KEYS of the rows.
 HOT_KEYS = 50_000
 SPREAD = 1024
 
 
 def fits_broadcast(staged: Staged) -> bool:
+    if staged.bytes <= TINY_BYTES:
+        return True
     return staged.bytes <= BROADCAST_BYTES and staged.rows <= BROADCAST_ROWS
 
 

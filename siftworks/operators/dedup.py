@@ -42,8 +42,8 @@ def duplicate_index(
         )
         .where(F.col("n") > 1)
     )
-    staged = staging.write(index, "duplicates")
-    if staged.frame.where("collides").limit(1).count():
+    staged = staging.write(index, "duplicates", collisions=F.count_if("collides"))
+    if staged.metrics["collisions"]:
         raise HashCollision("Different composite keys share a SHA-256 digest")
     return staged
 

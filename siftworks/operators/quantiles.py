@@ -59,9 +59,11 @@ def exact_quantiles(
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
     if (sizes.agg(F.max("rows")).first()[0] or 0) <= small:
         return staging.write(_buffered(rows, keys, probabilities), "quantiles")
-    brackets = staging.write(_first_brackets(rows, keys, probabilities), "brackets")
-    while _widest(brackets) > limit:
-        brackets = staging.write(_narrow(rows, keys, brackets), "brackets")
+    brackets = staging.write(
+        _first_brackets(rows, keys, probabilities), "brackets", widest=_widest()
+    )
+    while (brackets.metrics["widest"] or 0) > limit:
+        brackets = staging.write(_narrow(rows, keys, brackets), "brackets", widest=_widest())
     return staging.write(_settle(rows, keys, brackets, probabilities), "quantiles")
 
 
@@ -117,10 +119,10 @@ def _first_brackets(rows: DataFrame, keys: list[str], probabilities: Sequence[fl
     return _collected(_holding(placed, F.col("ranks")), keys)
 
 
-def _widest(brackets: Staged) -> int:
+def _widest() -> Column:
     """Rows in the fullest bracket that still holds more than one value."""
     open_rows = F.transform("brackets", lambda b: F.when(b.lo < b.hi, b.c).otherwise(F.lit(0)))
-    return brackets.frame.agg(F.max(F.array_max(open_rows))).first()[0] or 0
+    return F.max(F.array_max(open_rows))
 
 
 def _candidates(rows: DataFrame, keys: list[str], brackets: Staged) -> DataFrame:
@@ -171,23 +173,25 @@ def _settle(
     upto = Window.partitionBy(*group).orderBy(_X).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    placed = (
-        listed.withColumn("start", F.col("base") + F.sum("c").over(upto) - F.col("c"))
-        .withColumn("lo", F.col(_X))
-        .withColumn("hi", F.col(_X))
+    placed = listed.select(
+        *keys, "n", "ranks", "c", F.col(_X).alias("x"),
+        (F.col("base") + F.sum("c").over(upto) - F.col("c")).alias("start"),
     )
-    found = _holding(placed, F.col("ranks")).select(*keys, "n", "ranks", "start", "c", "lo", "hi")
-    groups = _collected(found.unionByName(_closed(keys, brackets)), keys)
-
-    def at(rank: Column) -> Column:
-        return F.get(
-            F.filter("brackets", lambda b: (b.start <= rank) & (rank < b.start + b.c)), 0
-        )["lo"]
+    closed = _closed(keys, brackets).withColumn("x", F.col("lo"))
+    values = ["n", "ranks", "c", "x", "start"]
+    rank = F.col("rank")
+    ranked = (
+        placed.unionByName(closed.select(*keys, *values))
+        .select("*", F.explode("ranks").alias("rank"))
+        .where((rank >= F.col("start")) & (rank < F.col("start") + F.col("c")))
+    )
+    at_rank = F.map_from_entries(F.collect_list(F.struct("rank", "x")))
+    groups = ranked.groupBy(*keys, "n").agg(at_rank.alias("at"))
 
     def quantile(probability: float) -> Column:
         position = (F.col("n") - 1) * F.lit(float(probability))
-        rank = F.floor(position).cast("bigint")
-        low, high = at(rank), at(F.least(rank + 1, F.col("n") - 1))
-        return low + (high - low) * (position - rank)
+        low_rank = F.floor(position).cast("bigint")
+        low, high = F.col("at")[low_rank], F.col("at")[F.least(low_rank + 1, F.col("n") - 1)]
+        return low + (high - low) * (position - low_rank)
 
     return groups.select(*keys, "n", F.array(*[quantile(p) for p in probabilities]).alias("q"))

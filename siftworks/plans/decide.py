@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftworks.config import JobConfig
@@ -16,17 +16,39 @@ from siftworks.operators.fences import attach_fences, outside_fences, peer_stati
 from siftworks.operators.groups import attach_mean, cent_sums
 from siftworks.operators.reference import Reference, build_reference
 from siftworks.presets import property_sales as sales
-from siftworks.staging import Staged, Staging
+from siftworks.staging import Staged, Staging, write_observed
 
 ROW_ID = "_source_record_id"
 
 
+def _ascii_measures(master: DataFrame) -> dict[str, Column]:
+    present = [c for c in sales.NORMALIZED if c in master.columns]
+    return {c: F.count_if(has_non_ascii(F.col(c))) for c in present}
+
+
 def ascii_text_columns(master: DataFrame) -> frozenset[str]:
     """The normalised columns that hold ASCII only, measured over every row."""
-    columns = [c for c in sales.NORMALIZED if c in master.columns]
-    found = master.agg(*[F.coalesce(F.max(has_non_ascii(F.col(c))), F.lit(False)).alias(c) for c in columns])
-    row = found.first()
-    return frozenset(c for c in columns if not row[c])
+    row = master.agg(*[m.alias(c) for c, m in _ascii_measures(master).items()]).first()
+    return frozenset(c for c, n in row.asDict().items() if not n)
+
+
+@dataclass(frozen=True)
+class Master:
+    """The written master table and the text columns its write found to be ASCII."""
+
+    table: Staged
+    ascii_columns: frozenset[str]
+
+    @property
+    def frame(self) -> DataFrame:
+        return self.table.frame
+
+
+def write_master(rows: DataFrame, path: str) -> Master:
+    """Write the master table; its text is inspected in the same pass."""
+    table = write_observed(rows, path, rows=F.count(F.lit(1)), **_ascii_measures(rows))
+    found = {c: n for c, n in table.metrics.items() if c != "rows"}
+    return Master(table, frozenset(c for c, n in found.items() if not n))
 
 
 def learn_reference(
@@ -100,17 +122,17 @@ class Decisions:
 
 
 def assessed_table(
-    master: DataFrame, config: JobConfig, staging: Staging
+    master: Master, config: JobConfig, staging: Staging
 ) -> tuple[Staged, Reference]:
     """Stage the assessed rows: the several passes that follow read pruned columns of it."""
-    ascii_columns = ascii_text_columns(master)
-    reference = learn_reference(master, config, staging, ascii_columns)
-    rows = sales.assess(master, reference, config, ascii_columns=ascii_columns)
+    ascii_columns = master.ascii_columns
+    reference = learn_reference(master.frame, config, staging, ascii_columns)
+    rows = sales.assess(master.frame, reference, config, ascii_columns=ascii_columns)
     return staging.write(rows, "assessed"), reference
 
 
 def marked_table(
-    master: DataFrame, config: JobConfig, staging: Staging
+    master: Master, config: JobConfig, staging: Staging
 ) -> tuple[DataFrame, Reference, Staged]:
     assessed, reference = assessed_table(master, config, staging)
     marked, duplicates = with_duplicates(assessed.frame, staging)
@@ -120,7 +142,7 @@ def marked_table(
     return marked, reference, duplicates
 
 
-def decide(master: DataFrame, config: JobConfig, staging: Staging) -> Decisions:
+def decide(master: Master, config: JobConfig, staging: Staging) -> Decisions:
     marked, reference, duplicates = marked_table(master, config, staging)
     statistics = price_statistics(marked, staging)
     return Decisions(

@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from siftworks.sources import files
 
@@ -35,10 +35,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Staged:
-    """A written intermediate table together with its measured size."""
+    """A written intermediate table, its measured size and what its write observed."""
 
-    def __init__(self, spark: SparkSession, path: str, schema) -> None:
+    def __init__(self, spark: SparkSession, path: str, schema, metrics: dict) -> None:
         self.path = path
+        self.metrics = metrics
         self._spark = spark
         self._schema = schema
         self._bytes: int | None = None
@@ -61,6 +62,14 @@ class Staged:
         return self._rows
 
 
+def write_observed(frame: DataFrame, path: str, **observed: Column) -> Staged:
+    """Write Parquet and measure aggregates over the rows while they pass by."""
+    seen = Observation()
+    watched = frame.observe(seen, *[c.alias(n) for n, c in observed.items()]) if observed else frame
+    watched.write.option("compression", "snappy").parquet(path)
+    return Staged(frame.sparkSession, path, frame.schema, seen.get if observed else {})
+
+
 class Staging:
     """One job's staging area; ``drop`` removes everything the job staged."""
 
@@ -68,10 +77,9 @@ class Staging:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/siftworks-{uuid.uuid4().hex}"
 
-    def write(self, frame: DataFrame, name: str) -> Staged:
-        path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
-        frame.write.option("compression", "snappy").parquet(path)
-        return Staged(self.spark, path, frame.schema)
+    def write(self, frame: DataFrame, name: str, **observed: Column) -> Staged:
+        """Write a table; the named aggregates are computed in the same pass."""
+        return write_observed(frame, f"{self.root}/{name}-{uuid.uuid4().hex[:8]}", **observed)
 
     def drop(self) -> None:
         files.delete(self.spark, self.root)

@@ -54,11 +54,11 @@ def test_a_run_accounts_for_every_row_and_repeats(spark, raw, tmp_path):
     assert digests(raw) == before
     marker = current_run(spark, str(out))
     assert marker["run"] == first["run"] and marker["input_sha256"] == before
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
     try:
         second = run_job(spark, raw, out)
     finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert second["counts"] == counts and second["run"] != first["run"]
     for group in publish.GROUPS:
         old, new = (publish.read_group(spark, r["run"], group) for r in (first, second))

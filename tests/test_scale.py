@@ -117,7 +117,8 @@ def test_layout_does_not_change_decisions(frame, staging, layout):
         for i in range(120)
     ] + [{"block": "999", "resale_price": "9000000"}]
     rows = frame({}, *changes).orderBy(F.rand(layout)).repartition(layout)
-    decided = plan.decide(rows, JobConfig(), staging)
+    master = plan.write_master(rows, f"{staging.root}/master")
+    decided = plan.decide(master, JobConfig(), staging)
     stages_ = {
         r[0]: r[1] for r in decided.frame.groupBy("_quarantine_stage").count().collect()
     }
