@@ -27,10 +27,10 @@ def duplicate_index(
 
     ``order`` lists ascending sort expressions that make a total order; the
     first row wins. Copies are combined before the shuffle, so a key holding
-    most of the rows costs one row per map task. A second, longer digest of the
+    most of the rows costs one row per map task. A second, unrelated hash of the
     key shows when two keys share ``key_hash``, without shuffling the keys.
     """
-    witness = F.sha2(key, 512)
+    witness = F.xxhash64(key)
     rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.col(row_id).alias("id"))
     index = (
         rows.withColumn("_witness", witness)

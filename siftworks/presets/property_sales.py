@@ -76,7 +76,8 @@ def clean_text(
         ).alias(c)
         for c in columns
     ]
-    return master.select(*LINEAGE, F.struct(*columns).alias("_raw"), *tidy)
+    recorded = F.col("month").alias("_recorded_month")
+    return master.select(*LINEAGE, F.struct(*columns).alias("_raw"), recorded, *tidy)
 
 
 def _parsed(rows: DataFrame, config: JobConfig) -> DataFrame:
@@ -166,6 +167,7 @@ def assess(
     typed_rows = rows.select(
         *LINEAGE,
         "_raw",
+        "_recorded_month",
         *[typed[c].alias(c) if c in typed else kept(F.col(c)).alias(c) for c in columns],
         kept(F.col("_price_cents")).alias("_price_cents"),
         kept(F.col("_year")).alias("transaction_year"),
