@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftworks.staging import Staged
@@ -33,24 +33,31 @@ def attach(
     *,
     weight: str = "n",
     spread: Sequence[str] = (),
+    active: Column | None = None,
     hot_keys: int | None = None,
     broadcast_whole: bool | None = None,
 ) -> DataFrame:
     """Left-join ``lookup`` onto ``rows`` by null-safe equality of ``keys``.
 
     ``lookup`` is a projection of the staged table, one row per key, whose
-    ``weight`` column says how many rows carry the key. A table of checked size
-    is broadcast, so the rows are not shuffled at all. Beyond that size the
-    keys holding more than 1/hot_keys of all rows, fewer than ``hot_keys`` of
-    them by counting, are broadcast, and only the rest is joined by shuffle;
-    rows already served are spread over the shuffle by ``spread``, so no task
-    receives a hot key whole.
+    ``weight`` column says how many active rows carry the key; a key missing
+    from it must be rare. Rows that are not ``active`` get nulls.
+
+    A table of checked size is broadcast, so the rows are not shuffled at all.
+    Beyond that size the keys holding more than 1/hot_keys of all rows, fewer
+    than ``hot_keys`` of them by counting, are broadcast, and only the rest is
+    joined by shuffle. Rows already served and inactive rows are spread over
+    that shuffle by ``spread``, so no task receives a hot key whole.
     """
     keys = list(keys)
     values = [c for c in lookup.columns if c not in keys]
     whole = fits_broadcast(staged) if broadcast_whole is None else broadcast_whole
+    may_match = F.lit(True) if active is None else F.coalesce(active, F.lit(False))
     if whole:
-        return _join(rows, F.broadcast(lookup), keys, values)
+        joined = _join(rows, F.broadcast(lookup), keys, values)
+        if active is None:
+            return joined
+        return joined.withColumns({v: F.when(may_match, F.col(v)) for v in values})
 
     limit = hot_keys or HOT_KEYS
     total = lookup.agg(F.sum(weight)).first()[0] or 0
@@ -63,12 +70,12 @@ def attach(
     scatter = [F.col(c) for c in spread] or [F.col(c) for c in rows.columns]
     served = served.withColumn(
         "_salt",
-        F.when(hit, F.pmod(F.xxhash64(*scatter), F.lit(SPREAD)) + 1).otherwise(F.lit(0)),
+        F.when(hit | ~may_match, F.pmod(F.xxhash64(*scatter), F.lit(SPREAD)) + 1).otherwise(F.lit(0)),
     )
     joined = _join(served, cold.withColumn("_salt", F.lit(0).cast("bigint")), [*keys, "_salt"], values)
     return joined.select(
         *rows.columns,
-        *[F.coalesce(F.col(f"_hot_{v}"), F.col(v)).alias(v) for v in values],
+        *[F.when(may_match, F.coalesce(F.col(f"_hot_{v}"), F.col(v))).alias(v) for v in values],
     )
 
 

@@ -60,9 +60,9 @@ def mark_duplicates(
     """Add ``_reference_source_record_id``: the winner's id on losing rows, else null."""
     marked = attach(
         rows, index.frame.select(key_hash, "n", "winner"), index, [key_hash], spread=[row_id],
-        **options,
+        active=active, **options,
     )
-    loses = (F.col("winner") != F.col(row_id)) & (F.lit(True) if active is None else active)
+    loses = F.col("winner") != F.col(row_id)
     return marked.withColumn(
         "_reference_source_record_id", F.when(loses, F.col("winner"))
     ).drop("n", "winner")

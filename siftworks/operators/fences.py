@@ -50,35 +50,45 @@ def attach_fences(
     min_peers: int,
     multiplier: float,
     spread: Sequence[str] = (),
+    active: Column | None = None,
+    **options,
 ) -> DataFrame:
-    """Add the chosen level, peer count and both fences, falling back level by level."""
+    """Add the chosen level, peer count and both fences, falling back level by level.
+
+    Rows that are not ``active`` were not peers and get no evidence.
+    """
     spread_of = F.col("q")[1] - F.col("q")[0]
-    usable = statistics.frame.where((F.col("n") >= min_peers) & (spread_of > MIN_SPREAD))
+    usable = (F.col("n") >= min_peers) & (spread_of > MIN_SPREAD)
     result, evidence = rows, []
     for position, level in enumerate(levels):
         names = [f"_peer{position}_{i}" for i in range(len(level.columns))]
         name = f"_fence{position}"
-        lookup = usable.where(F.col("level") == level.label).select(
+        # Groups that cannot carry fences stay in, so that large ones are known to be hot.
+        lookup = statistics.frame.where(F.col("level") == level.label).select(
             *[F.col(f"k{i}").alias(n) for i, n in enumerate(names)],
             F.col("n").alias("_peers"),
-            F.struct(
+            F.when(usable, F.struct(
                 F.lit(level.label).alias("level"),
                 F.col("n").alias("n"),
                 F.exp(F.col("q")[0] - multiplier * spread_of).alias("lower"),
                 F.exp(F.col("q")[1] + multiplier * spread_of).alias("upper"),
-            ).alias(name),
+            )).alias(name),
         )
         keyed = result.withColumns(
             {n: F.col(c).cast("string") for n, c in zip(names, level.columns)}
         )
         result = attach(
-            keyed, lookup, statistics, names, weight="_peers", spread=spread
+            keyed, lookup, statistics, names, weight="_peers", spread=spread, active=active,
+            **options,
         ).drop("_peers", *names)
         evidence.append(name)
     chosen = F.coalesce(*[F.col(name) for name in evidence])
+    level, count = F.lit(UNASSESSED), F.lit(0).cast("bigint")
+    if active is not None:
+        level, count = F.when(active, level), F.when(active, count)
     return result.withColumns({
-        "_anomaly_peer_level": F.coalesce(chosen["level"], F.lit(UNASSESSED)),
-        "_anomaly_peer_count": F.coalesce(chosen["n"], F.lit(0).cast("bigint")),
+        "_anomaly_peer_level": F.coalesce(chosen["level"], level),
+        "_anomaly_peer_count": F.coalesce(chosen["n"], count),
         "_anomaly_lower_ppsqm": chosen["lower"],
         "_anomaly_upper_ppsqm": chosen["upper"],
     }).drop(*evidence)

@@ -29,7 +29,7 @@ SMALL_GROUP_ROWS = 50_000
 # Rows one bracket may hold when its distinct values are finally listed.
 BRACKET_ROWS = 1_000_000
 
-_X, _C = "_x", "_c"
+_X = "_x"
 
 
 def exact_quantiles(
@@ -39,25 +39,20 @@ def exact_quantiles(
     probabilities: Sequence[float],
     staging: Staging,
     *,
-    weight: str | None = None,
     small_group_rows: int | None = None,
     bracket_rows: int | None = None,
 ) -> Staged:
     """Staged table of ``keys``, ``n`` and ``q``, the linearly interpolated quantiles.
 
-    ``value`` must be a finite double. ``weight`` counts repeats of a value.
-    ``values`` is read a few times, so it should be cheap to read.
+    ``value`` must be a finite double. ``values`` is read a few times, so it
+    should be cheap to read.
     """
     keys = list(keys)
     small = SMALL_GROUP_ROWS if small_group_rows is None else small_group_rows
     limit = bracket_rows or BRACKET_ROWS
-    rows = values.select(
-        *keys,
-        F.col(value).cast("double").alias(_X),
-        (F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")).alias(_C),
-    )
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    if (sizes.agg(F.max("rows")).first()[0] or 0) <= small:
+    rows = values.select(*keys, F.col(value).cast("double").alias(_X))
+    sizes = rows.groupBy(*keys).agg(F.count(_X).alias("n"))
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= small:
         return staging.write(_buffered(rows, keys, probabilities), "quantiles")
     brackets = staging.write(
         _first_brackets(rows, keys, probabilities), "brackets", widest=_widest()
@@ -70,7 +65,7 @@ def exact_quantiles(
 def _buffered(rows: DataFrame, keys: list[str], probabilities: Sequence[float]) -> DataFrame:
     wanted = F.array(*[F.lit(float(p)) for p in probabilities])
     return rows.groupBy(*keys).agg(
-        F.sum(_C).alias("n"), F.percentile(_X, wanted, F.col(_C)).alias("q")
+        F.count(_X).alias("n"), F.percentile(_X, wanted).alias("q")
     )
 
 
@@ -90,7 +85,7 @@ def _ranks(n: Column, probabilities: Sequence[float]) -> Column:
 
 def _counted(frame: DataFrame, keys: list[str]) -> DataFrame:
     return frame.groupBy(*keys).agg(
-        F.sum(_C).alias("c"), F.min(_X).alias("lo"), F.max(_X).alias("hi")
+        F.count(_X).alias("c"), F.min(_X).alias("lo"), F.max(_X).alias("hi")
     )
 
 
@@ -168,7 +163,7 @@ def _settle(
         _candidates(rows, keys, brackets)
         .withColumn("base", F.col("b.start"))
         .groupBy(*group, _X)
-        .agg(F.sum(_C).alias("c"))
+        .agg(F.count(F.lit(1)).alias("c"))
     )
     upto = Window.partitionBy(*group).orderBy(_X).rowsBetween(
         Window.unboundedPreceding, Window.currentRow

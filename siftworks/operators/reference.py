@@ -24,6 +24,7 @@ class Reference:
     """Staged ``column, value, n`` rows and what was measured while learning them."""
 
     table: Staged
+    staging: Staging
     rows: int
     sizes: dict[str, int]
     literals: dict[str, list[str]] = field(repr=False)
@@ -42,13 +43,17 @@ class Reference:
         for column in columns:
             if column in self.literals:
                 continue
+            # Weights are the values' counts in the rows themselves: a value that
+            # fills the rows may be rare in the domain, or missing from it.
             domain = self.frame.where(F.col("column") == column).select(
-                F.col("value").alias(column), "n"
+                F.col("value").alias(column), F.lit(True).alias("_in_domain")
             )
+            counted = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+            lookup = self.staging.write(counted.join(domain, column, "left"), "values")
             rows = (
-                attach(rows, domain, self.table, [column], spread=["_source_record_id"])
-                .withColumn(flag(column), F.col("n").isNotNull())
-                .drop("n")
+                attach(rows, lookup.frame, lookup, [column], spread=["_source_record_id"])
+                .withColumn(flag(column), F.col("_in_domain").isNotNull())
+                .drop("n", "_in_domain")
             )
         return rows
 
@@ -118,7 +123,7 @@ def build_reference(
     for row in table.frame.where(F.col("column").isin(short)).select("column", "value").collect():
         literals[row["column"]].append(row["value"])
     return Reference(
-        table, measured[columns[0]]["rows"], sizes, {c: sorted(v) for c, v in literals.items()}
+        table, staging, measured[columns[0]]["rows"], sizes, {c: sorted(v) for c, v in literals.items()}
     )
 
 

@@ -84,16 +84,15 @@ def price_statistics(marked: DataFrame, staging: Staging) -> Staged:
 
 
 def with_fences(
-    marked: DataFrame, statistics: Staged, config: JobConfig
+    marked: DataFrame, statistics: Staged, config: JobConfig, **options
 ) -> DataFrame:
     """Add fence evidence to the rows still alive and quarantine those outside."""
+    live = F.col("_quarantine_stage").isNull()
     scored = attach_fences(
         marked, statistics, "price_per_sqm", sales.PEER_LEVELS,
         min_peers=config.anomaly_min_peers, multiplier=config.anomaly_iqr_multiplier,
-        spread=[ROW_ID],
+        spread=[ROW_ID], active=live, **options,
     )
-    live = F.col("_quarantine_stage").isNull()
-    scored = scored.withColumns({c: F.when(live, F.col(c)) for c in sales.EVIDENCE})
     flagged = live & outside_fences(F.col("price_per_sqm"))
     return scored.withColumns({
         "_quarantine_stage": F.when(flagged, "anomaly").otherwise(F.col("_quarantine_stage")),

@@ -80,7 +80,7 @@ def inspect_files(spark: SparkSession, folder: str, recursive: bool = False) ->
         item for item in files.listing(spark, folder, ".csv") if recursive or "/" not in item[0]
     ]
     if not listed:
-        raise FileNotFoundError(f"No CSV inputs in {folder}")
+        raise FileNotFoundError(f"Found no CSV file in {folder}")
     tasks = min(len(listed), max(spark.sparkContext.defaultParallelism * 4, 1))
     table = spark.createDataFrame(listed, _FILE_SCHEMA).repartition(tasks, "file")
     rows = table.mapInPandas(_inspect, _INSPECTED).collect()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from siftworks.config import JobConfig
 from siftworks.operators import attach as joining
 from siftworks.operators.dedup import duplicate_index, mark_duplicates, winners
+from siftworks.operators.fences import PeerLevel, attach_fences, peer_statistics
 from siftworks.operators.quantiles import exact_quantiles
 from siftworks.operators.reference import build_reference
 from siftworks.plans import decide as plan
@@ -75,11 +76,42 @@ def test_quantiles_are_exact_by_every_path(spark, staging, options):
         assert found[group][1] == pytest.approx(np.quantile(values, shares), rel=1e-12, abs=1e-300)
 
 
-def test_quantiles_respect_weights(spark, staging):
-    rows = spark.createDataFrame([("a", 1.0, 3), ("a", 5.0, 1), ("b", 2.0, 2)], "g string, v double, w bigint")
-    for small in (0, 100):
-        table = exact_quantiles(rows, ["g"], "v", [0.5, 0.75], staging, weight="w", small_group_rows=small)
-        assert {r.g: (r.n, r.q) for r in table.frame.collect()} == {"a": (4, [1.0, 2.0]), "b": (2, [2.0, 2.0])}
+def test_inactive_rows_match_nothing_and_are_spread(skewed, staging):
+    table = staging.write(skewed.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "counts")
+    live = F.col("id") % 2 == 0
+    for whole in (True, False):
+        joined = joining.attach(
+            skewed, table.frame, table, ["k"], spread=["id"], active=live,
+            broadcast_whole=whole, hot_keys=4,
+        )
+        assert joined.where(~live & F.col("n").isNotNull()).count() == 0
+        assert joined.where(live & F.col("n").isNull()).count() == 0
+
+
+def test_fences_agree_when_groups_are_joined_by_shuffle(spark, staging):
+    """A flat group with a third of the rows, and inactive rows, on both join paths."""
+    rows = spark.range(0, 900, 1, 5).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, "flat").otherwise(F.concat(F.lit("g"), (F.col("id") % 5).cast("string"))).alias("g"),
+        F.lit("all").alias("a"),
+        F.when(F.col("id") % 3 == 0, 5.0).otherwise(1.0 + F.col("id") % 17).alias("v"),
+    )
+    levels = (PeerLevel("own", ("g", "a")), PeerLevel("any", ("a",)))
+    live = F.col("id") % 4 != 1
+    statistics = peer_statistics(rows.where(live), "v", levels, staging)
+    found = []
+    for options in ({"broadcast_whole": True}, {"broadcast_whole": False, "hot_keys": 4}):
+        fenced = attach_fences(
+            rows, statistics, "v", levels, min_peers=20, multiplier=3.0, spread=["id"],
+            active=live, **options,
+        )
+        found.append(sorted(map(str, fenced.collect())))
+        by_level = {
+            r[0]: r[1] for r in fenced.groupBy("_anomaly_peer_level").count().collect()
+        }
+        assert by_level[None] == rows.where(~live).count()
+        assert by_level["any"] == rows.where(live & (F.col("g") == "flat")).count()
+    assert found[0] == found[1]
 
 
 @pytest.mark.parametrize("options", [{}, {"broadcast_whole": False, "hot_keys": 3}])
