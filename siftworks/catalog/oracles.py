@@ -322,6 +322,13 @@ SELECT c AS "column", v AS "value", count(*) AS "rows" FROM (
 WHERE v IS NOT NULL AND NOT EXISTS (
   SELECT 1 FROM domains d WHERE d."column" = t.c AND d."value" = t.v)
 GROUP BY c, v"""),
+    "scope_accounting": _pipeline("""
+SELECT count(*) AS raw_rows,
+  count(*) FILTER (dated AND month BETWEEN '1996-01' AND '2000-12') AS in_scope_rows,
+  count(*) FILTER (NOT dated) AS invalid_date_rows,
+  count(*) FILTER (dated AND NOT month BETWEEN '1996-01' AND '2000-12') AS out_of_scope_rows,
+  count(*) FILTER (NOT dated OR month BETWEEN '1996-01' AND '2000-12') AS master_rows
+FROM parsed"""),
     "storey_bounds": _feed("""
 SELECT src AS _source_row, CAST(substr(storey_range, 1, 2) AS BIGINT) AS low,
   CAST(substr(storey_range, 7, 2) AS BIGINT) AS high FROM feed"""),

@@ -109,6 +109,12 @@ def unseen_categories(spark, sf_dir):
     )
 
 
+def scope_accounting(spark, sf_dir):
+    """The feed against a scope that leaves out its first and last years."""
+    config = JobConfig("1996-01", "2000-12", "1996-01")
+    return reports.scope_accounting(sales_feed(spark, sf_dir), config)
+
+
 def storey_bounds(spark, sf_dir):
     low, high = reference.band_bounds(F.col("storey_range"))
     feed = sales_feed(spark, sf_dir)
@@ -416,7 +422,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         quality_by_month, reference_domains, normalized_text, validation_reasons,
-        reason_histogram, unseen_categories, storey_bounds, money_cents,
+        reason_histogram, unseen_categories, scope_accounting, storey_bounds, money_cents,
         provided_duration_parse, record_ids, canonical_key_hash, dedup_winners,
         dedup_losers_with_reference, dedup_lineitem, dedup_documents_text, price_fences,
         peer_level_counts, anomaly_rows, event_value_fences, remaining_term, unit_price,
