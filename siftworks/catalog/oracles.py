@@ -364,7 +364,7 @@ SELECT src AS _source_row, ppsqm AS price_per_sqm, {_EVIDENCE}
 FROM scored WHERE flagged"""),
     "event_value_fences": """
 WITH e AS (SELECT event_id, event_type, strftime(ts, '%Y-%m-%d') AS day, "value" AS v,
-             ln("value") AS x FROM events),
+             ln("value") AS x FROM events WHERE "value" > 0),
 s1 AS (SELECT event_type, day, count(*) AS n, quantile_cont(x, 0.25) AS a,
          quantile_cont(x, 0.75) AS b FROM e GROUP BY ALL),
 s2 AS (SELECT event_type, count(*) AS n, quantile_cont(x, 0.25) AS a,

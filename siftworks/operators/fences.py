@@ -26,7 +26,10 @@ class PeerLevel:
 def peer_statistics(
     rows: DataFrame, measure: str, levels: Sequence[PeerLevel], staging: Staging, **options
 ) -> Staged:
-    """Size and quartiles of the log measure for every group of every level."""
+    """Size and quartiles of the log measure for every group of every level.
+
+    Only rows with a positive measure have a logarithm and count as peers.
+    """
     width = max(len(level.columns) for level in levels)
 
     def entry(level: PeerLevel) -> Column:
@@ -34,7 +37,7 @@ def peer_statistics(
         blank = [F.lit(None).cast("string").alias(f"k{i}") for i in range(len(named), width)]
         return F.struct(F.lit(level.label).alias("level"), *named, *blank)
 
-    logs = rows.select(
+    logs = rows.where(F.col(measure) > 0).select(
         F.log(F.col(measure)).alias("x"), F.explode(F.array(*map(entry, levels))).alias("g")
     ).select("g.*", "x")
     keys = ["level", *[f"k{i}" for i in range(width)]]
@@ -55,8 +58,11 @@ def attach_fences(
 ) -> DataFrame:
     """Add the chosen level, peer count and both fences, falling back level by level.
 
-    Rows that are not ``active`` were not peers and get no evidence.
+    Rows that are not ``active`` get no evidence; active rows without a positive
+    measure are unassessed.
     """
+    positive = F.coalesce(F.col(measure) > 0, F.lit(False))
+    peer = positive if active is None else active & positive
     spread_of = F.col("q")[1] - F.col("q")[0]
     usable = (F.col("n") >= min_peers) & (spread_of > MIN_SPREAD)
     result, evidence = rows, []
@@ -78,7 +84,7 @@ def attach_fences(
             {n: F.col(c).cast("string") for n, c in zip(names, level.columns)}
         )
         result = attach(
-            keyed, lookup, statistics, names, weight="_peers", spread=spread, active=active,
+            keyed, lookup, statistics, names, weight="_peers", spread=spread, active=peer,
             **options,
         ).drop("_peers", *names)
         evidence.append(name)

@@ -76,6 +76,21 @@ def test_quantiles_are_exact_by_every_path(spark, staging, options):
         assert found[group][1] == pytest.approx(np.quantile(values, shares), rel=1e-12, abs=1e-300)
 
 
+def test_rows_without_a_logarithm_are_no_peers(spark, staging):
+    rows = spark.createDataFrame(
+        [(i, "g", float(i % 9)) for i in range(90)] + [(90, "g", None), (91, "z", 0.0)],
+        "id bigint, g string, v double",
+    )
+    levels = (PeerLevel("own", ("g",)),)
+    statistics = peer_statistics(rows, "v", levels, staging)
+    fenced = attach_fences(rows, statistics, "v", levels, min_peers=20, multiplier=3.0)
+    found = {
+        (r.v is not None and r.v > 0, r._anomaly_peer_level, r._anomaly_peer_count)
+        for r in fenced.collect()
+    }
+    assert found == {(True, "own", 80), (False, "unassessed", 0)}
+
+
 def test_inactive_rows_match_nothing_and_are_spread(skewed, staging):
     table = staging.write(skewed.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "counts")
     live = F.col("id") % 2 == 0
