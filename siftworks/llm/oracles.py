@@ -42,9 +42,20 @@ z AS (SELECT y.doc_id, y.tk, string_agg(y.line, chr(10) ORDER BY y.i) FILTER (WH
       GROUP BY y.doc_id, y.tk)
 """
 
+_TOPK = """
+v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+      FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+        max(CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT)) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e) GROUP BY ALL),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+"""
+
 ORACLES = {
     "op1_mixing": f"WITH {_SIZES.format(documents='documents')} "
     "SELECT doc_id, size, source_size, target, size * copies AS taken FROM m",
+    "op6_topk": f"WITH {_TOPK} SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5",
     "op9_line_dedup": f"""WITH {_LINES.format(documents='documents')}
         SELECT n.doc_id, n.n AS n_lines, coalesce(z.removed, 0) AS n_removed,
             sha256(coalesce(z.kept, '')) AS kept_sha256

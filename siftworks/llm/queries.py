@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftworks.llm import lines, mixing, packing
+from siftworks.llm import language, licenses, lines, mixing, neighbours, packing, topk, toxicity
 from siftworks.llm.common import table
 
 
@@ -15,11 +15,55 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows found for every hundredth vector."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def _remainder(key, divisor: int):
+    return F.crc32(key.cast("string").cast("binary")) % divisor
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learnt from labels outside the held-out fifth."""
+    documents = table(spark, sf_dir, "documents")
+    tagger = toxicity.fit(documents, table(spark, sf_dir, "labels"), _remainder(F.col("doc_id"), 5) != 0)
+    return toxicity.score(documents, tagger).select(
+        "doc_id", F.coalesce(_remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+        "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sequence and offset of every piece of every document."""
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and covered templates of every text."""
+    labels = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
+    base, spans = F.col("base.label"), F.col("spans.label")
+    return licenses.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.first_word").alias("first_word"), F.array_max("base.first_word").alias("last_word"),
+        labels(base).alias("base_labels"), labels(F.concat(base, spans)).alias("labels"),
+        F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(F.array_max("spans.cover"), F.lit(0.0))).alias("score"))
+
+
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest integer inner products of every fiftieth vector."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learnt from the languages of three quarters."""
+    documents = table(spark, sf_dir, "documents")
+    remainder = _remainder(F.col("doc_id"), 4)
+    model = language.fit(documents.where(remainder != 2), F.col("doc_id"))
+    return language.label(documents, model).select(
+        "doc_id", F.coalesce(_remainder(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"),
+        "lang_pred", "score")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines removed from every document, and a digest of what stays."""
     return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
@@ -29,6 +73,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_neighbours": op2_neighbours,
+    "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
+    "op5_licenses": op5_licenses,
+    "op6_topk": op6_topk,
+    "op7_language": op7_language,
     "op9_line_dedup": op9_line_dedup,
 }
