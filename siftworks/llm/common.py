@@ -23,9 +23,22 @@ def raw_text(text: str = "text"):
     return F.col(text).cast("binary")
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(frame: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back."""
-    return Staging(frame.sparkSession).write(frame, name).frame
+    """Write a table to the shared folder and read it back.
+
+    The write's own shuffle files are removed when it is done, as the table holds all
+    that later steps need.
+    """
+    conf = frame.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, None)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return Staging(frame.sparkSession).write(frame, name).frame
+    finally:
+        conf.unset(SHUFFLE_CLEANUP) if before is None else conf.set(SHUFFLE_CLEANUP, before)
 
 
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftworks.llm import language, licenses, lines, mixing, neighbours, packing, topk, toxicity
+from siftworks.llm import jaccard, language, licenses, lines, mixing, neighbours, packing, topk, toxicity
 from siftworks.llm.common import table
 
 
@@ -71,6 +71,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles and near-duplicate component of every document."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_neighbours": op2_neighbours,
@@ -80,4 +85,5 @@ QUERIES = {
     "op6_topk": op6_topk,
     "op7_language": op7_language,
     "op9_line_dedup": op9_line_dedup,
+    "op10_jaccard": op10_jaccard,
 }
