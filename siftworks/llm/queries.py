@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftworks.llm import jaccard, language, licenses, lines, mixing, neighbours, packing, topk, toxicity
+from siftworks.llm import debruijn, jaccard, language, licenses, lines, mixing, neighbours, packing, topk, toxicity
 from siftworks.llm.common import table
 
 
@@ -64,6 +64,12 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lang_pred", "score")
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeat passages of earlier ones, and a digest of the rest."""
+    return debruijn.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines removed from every document, and a digest of what stays."""
     return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
@@ -84,6 +90,7 @@ QUERIES = {
     "op5_licenses": op5_licenses,
     "op6_topk": op6_topk,
     "op7_language": op7_language,
+    "op8_substrings": op8_substrings,
     "op9_line_dedup": op9_line_dedup,
     "op10_jaccard": op10_jaccard,
 }
