@@ -1,15 +1,76 @@
-"""The corpus pipeline: documents through stages, each one operator."""
+"""The corpus pipeline: documents through five stages, each by one operator.
+
+Every stage works on all rows its predecessor kept. The first four return the columns
+of their input; the last returns the packed pieces.
+
+* ``language_id`` drops texts in no language (null, or without a letter).
+* ``line_dedup`` cuts runs of lines that stand earlier too, and drops documents of
+  which no word is left. ``n_chars``, where there is one, follows the cut text.
+* ``ngram_jaccard`` keeps the document with the smallest id of each near-duplicate
+  group, and one row of an id; rows without an id stay.
+* ``mixing`` repeats or leaves out documents to the target weights of their sources.
+* ``packing`` puts what remains into sequences of 4096 tokens.
+
+Empty tables pass through all stages; other columns are carried along.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from siftworks.llm import jaccard, language, lines, mixing, packing
+from siftworks.llm.common import staged
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return language.keep_known(docs, language.fit(docs, F.col("doc_id")))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = lines.dedup_lines(docs)
+    emptied = (F.col("_sw_removed") > 0) & (mixing.word_count(F.col("text")) == 0)
+    cut = cut.where(~emptied)
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        cut = cut.withColumn("n_chars", F.when(F.col("_sw_removed") > 0, length).otherwise(F.col("n_chars")))
+    return cut.select(*[cut[f"`{c}`"] for c in docs.columns])
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(docs)
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_sw_id")).distinct()
+    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    kept = (
+        docs.where("doc_id IS NOT NULL").join(gone, F.col("doc_id") == F.col("_sw_id"), "left_anti")
+        .withColumn("_sw_row", F.row_number().over(one)).where("_sw_row = 1").drop("_sw_row")
+    )
+    return kept.union(docs.where("doc_id IS NULL"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.repeat(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(docs))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("ngram_jaccard", ngram_jaccard),
+    ("mixing", mix_sources),
+    ("packing", best_fit_packing),
+]
 
-STAGES: list = []
+#: Language ID and packing are not expressible in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each but the last is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

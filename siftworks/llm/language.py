@@ -177,39 +177,67 @@ def viterbi(scores: np.ndarray, steps: Steps, switch: float) -> np.ndarray:
     return steps.restore(path)
 
 
+class Labeller:
+    """Language, score and spans of whole texts."""
+
+    def __init__(self, model: Model, switch: float) -> None:
+        self.langs = np.array([*model.langs, UNKNOWN], dtype=object)
+        self.table, self.switch = Words(model, len(self.langs)), switch
+
+    def __call__(self, batch: pa.RecordBatch) -> Iterator[tuple[list, list[tuple]]]:
+        """Keys (first column) and (language, score, path) of texts (second column), some at a time."""
+        width = len(self.langs) - 1
+        for keys, words in groups([batch]):
+            lengths = np.array([len(w) for w in words], np.int64)
+            rows = self.table.take(flat(words))
+            path = viterbi(rows[:, :-1], Steps(lengths), self.switch) if width else np.zeros(len(rows), np.int16)
+            answers = []
+            for n, end in zip(lengths, np.cumsum(lengths), strict=True):
+                own, lettered = path[end - n:end], rows[end - n:end, -1] > 0
+                if not width or not lettered.any():
+                    answers.append((UNKNOWN, 0.0, own[:0]))
+                    continue
+                counts = np.bincount(own[lettered], minlength=width)
+                answers.append((self.langs[counts.argmax()], float(counts.max() / counts.sum()), own))
+            yield keys, answers
+
+    def spans(self, path: np.ndarray) -> list[dict]:
+        cuts = np.flatnonzero(np.diff(path)) + 1
+        first, last = [0, *cuts.tolist()], [*(cuts - 1).tolist(), len(path) - 1]
+        return [{"first_word": f, "last_word": z, "lang": self.langs[path[f]]}
+                for f, z in zip(first, last, strict=True)] if len(path) else []
+
+
 def label(
     documents: DataFrame, model: Model, switch: float = 6.0, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """doc_id, lang_pred, score, spans (first and last word, language) of every text."""
-    langs = np.array([*model.langs, UNKNOWN], dtype=object)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = Words(model, len(langs))
-        for ids, words in groups(batches):
-            lengths = np.array([len(w) for w in words], np.int64)
-            rows = table.take(flat(words))
-            if len(langs) > 1:
-                path = viterbi(rows[:, :-1], Steps(lengths), switch)
-            else:
-                path = np.zeros(len(rows), np.int16)
-            ends = np.cumsum(lengths)
-            answers = []
-            for doc, n, end in zip(ids, lengths, ends, strict=True):
-                own, lettered = path[end - n:end], rows[end - n:end, -1] > 0
-                counts = np.bincount(own[lettered], minlength=len(langs) - 1)
-                if len(langs) == 1 or not lettered.any():
-                    answers.append((doc, UNKNOWN, 0.0, []))
-                    continue
-                cuts = np.flatnonzero(np.diff(own)) + 1
-                first, last = [0, *cuts.tolist()], [*(cuts - 1).tolist(), int(n) - 1]
-                spans = [{"first_word": f, "last_word": z, "lang": langs[own[f]]}
-                         for f, z in zip(first, last, strict=True)]
-                top = int(counts.argmax())
-                answers.append((doc, langs[top], float(counts[top] / counts.sum()), spans))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t.type) for c, t in zip(zip(*answers, strict=True), LABELLED, strict=True)],
-                schema=LABELLED)
+        labeller = Labeller(model, switch)
+        for batch in batches:
+            for keys, answers in labeller(batch):
+                langs, scores, paths = zip(*answers, strict=True)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(c, t.type) for c, t in
+                    zip((keys, langs, scores, map(labeller.spans, paths)), LABELLED, strict=True)], schema=LABELLED)
 
     return documents.select(F.col(id_col).cast("long").alias("doc_id"), raw_text(text_col)).mapInArrow(
         run, "doc_id long, lang_pred string, score double,"
         " spans array<struct<first_word:int,last_word:int,lang:string>>")
+
+
+def keep_known(documents: DataFrame, model: Model, switch: float = 6.0, text_col: str = "text") -> DataFrame:
+    """The rows whose text is in some language, unchanged."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = Labeller(model, switch)
+        for batch in batches:
+            known = np.zeros(len(batch), bool)
+            text = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary())
+            numbered = pa.RecordBatch.from_arrays([pa.array(range(len(batch)), pa.int64()), text], names=["row", "text"])
+            for keys, answers in labeller(numbered):
+                known[keys] = [lang != UNKNOWN for lang, _, _ in answers]
+            yield batch.filter(pa.array(known))
+
+    return documents.mapInArrow(run, documents.schema)

@@ -102,12 +102,12 @@ def _boundary(rows: DataFrame, state: DataFrame, level: int) -> DataFrame:
     )
 
 
-def mix(
+def plan(
     documents: DataFrame, total_share: float = 1.5, weights: tuple[int, ...] = (5, 2, 1),
     max_epochs: float = 2.0, seed: str = "mix-1", id_col: str = "doc_id",
     text_col: str = "text", source_col: str = "source",
-) -> DataFrame:
-    """One row per document: id, source, size, source_size, target, copies, taken."""
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, _source, size, _draw), and per source its target, whole epochs and boundary."""
     rows = staged(documents.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("_source"),
         word_count(F.col(text_col)).alias("size"), draw(F.col(id_col), seed).alias("_draw"),
@@ -117,17 +117,38 @@ def mix(
     shared = weighted(sources, weights).withColumn("_total", F.sum("source_size").over(everything) * total_share)
     targets = staged(water_fill(shared, F.col("_total"), max_epochs), "targets")
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    plan = targets.withColumn("_epochs", F.floor(epochs + 1e-12)).withColumn(
+    shares = targets.withColumn("_epochs", F.floor(epochs + 1e-12)).withColumn(
         "_want", F.greatest(F.col("target") - F.col("_epochs") * F.col("source_size"), F.lit(0.0)))
-    state = plan.select("source", F.lit(0).cast("long").alias("_prefix"), "_want")
+    state = shares.select("source", F.lit(0).cast("long").alias("_prefix"), "_want")
     for level in range(LEVELS):
         state = staged(_boundary(rows, state, level), "boundary")
-    plan = plan.join(state.select(F.col("source").alias("_s"), "_prefix"),
-                     F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s", "_want")
-    copies = F.col("_epochs") + F.when(F.col("_draw") < F.col("_prefix"), 1).otherwise(0)
+    shares = shares.join(state.select(F.col("source").alias("_s"), "_prefix"),
+                         F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s", "_want", "weight")
+    return rows, staged(shares, "shares")
+
+
+def copies(number: Column) -> Column:
+    """How often a row with this number is taken, next to its source's plan."""
+    return (F.col("_epochs") + F.when(number < F.col("_prefix"), 1).otherwise(0)).cast("int")
+
+
+def mix(documents: DataFrame, **options) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, copies, taken."""
+    rows, shares = plan(documents, **options)
     return (
-        rows.join(plan, F.col("_source").eqNullSafe(F.col("source")))
-        .withColumn("copies", copies.cast("long"))
+        rows.join(shares, F.col("_source").eqNullSafe(F.col("source")))
+        .withColumn("copies", copies(F.col("_draw")))
         .select("doc_id", "source", "size", "source_size", "target", "copies",
                 (F.col("size") * F.col("copies")).alias("taken"))
     )
+
+
+def repeat(documents: DataFrame, seed: str = "mix-1", **options) -> DataFrame:
+    """The mix itself: the documents, each as often as it is taken."""
+    _, shares = plan(documents, seed=seed, **options)
+    shares = shares.select(F.col("source").alias("_sw_source"), "_epochs", "_prefix")
+    return (
+        documents.join(shares, F.col("source").eqNullSafe(F.col("_sw_source")))
+        .withColumn("_sw_copy", F.explode(F.array_repeat(F.lit(0), copies(draw(F.col("doc_id"), seed)))))
+        .select(*[documents[c] for c in documents.columns])
+    )
