@@ -19,7 +19,9 @@ empty one; very long texts are cut and hold one document's tokens in memory.
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,9 +38,9 @@ PIECES = pa.schema([
 ])
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
-#: Encoded words kept by a worker, and the most it keeps before it starts anew.
-_words: dict[str, dict[bytes, bytes]] = {}
-WORDS_KEPT = 400_000
+#: Encoded words kept by a worker: those of late and, of equal number, those before them.
+_words: dict[str, list[dict[bytes, bytes]]] = {}
+WORDS_KEPT = 300_000
 
 
 class Encoder:
@@ -49,24 +51,38 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = _words.setdefault(path, {})
+        self.kept = _words.setdefault(path, [{}, {}])
 
     def __call__(self, text: bytes) -> bytes:
         words = text.split()
-        known = self.known
+        known, before = self.kept
         try:
             return b"".join([known[w] for w in words])
         except KeyError:
             pass
         if len(known) > WORDS_KEPT:
-            known.clear()
-        new = [w for w in set(words) if w not in known]
+            known, before = self.kept[:] = {}, known
+        missing = set(words).difference(known)
+        new = []
+        for word in missing:
+            if (ids := before.get(word)) is None:
+                new.append(word)
+            else:
+                known[word] = ids
         found = self.tokenizer.encode_batch_fast(
             [w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        known.update(zip(new, [np.array(e.ids, "<u4").tobytes() for e in found], strict=True))
+        known.update(zip(new, [pack_ids(e.ids) for e in found], strict=True))
         return b"".join([known[w] for w in words])
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit numbers."""
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
