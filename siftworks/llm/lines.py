@@ -65,8 +65,9 @@ def repeated_windows(documents: DataFrame, min_run: int) -> DataFrame:
              F.max(F.xxhash64("doc_id", "_text", "start")).alias("_b"))
         .where("_a <> _b").select("fingerprint")
     )
-    candidates = staged(rows.join(shared, "fingerprint"), "shared")
-    first = candidates.groupBy("fingerprint", "w1", "w2").agg(F.min(_place()).alias("first"))
+    # Written first: the join then reads two plain shuffles, of which hot parts can be split.
+    candidates = staged(rows.join(staged(shared, "fingerprints"), "fingerprint"), "shared")
+    first = staged(candidates.groupBy("fingerprint", "w1", "w2").agg(F.min(_place()).alias("first")), "first")
     return (
         candidates.join(first, ["fingerprint", "w1", "w2"])
         .where(_place() > F.col("first"))
