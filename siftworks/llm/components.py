@@ -21,12 +21,13 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # Written first: the join then reads two plain shuffles, of which hot parts can be split.
+        least = staged(both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m")), "least")
         large = staged(
             both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .where("u <> v").distinct(), "links")
         # Here u > v always: a node's smaller neighbours and itself go to the smallest.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         edges = staged(
             large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
             .where("u <> v").distinct(), "links")

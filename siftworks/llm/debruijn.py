@@ -86,7 +86,9 @@ def edges(documents: DataFrame, k: int) -> DataFrame:
     """
     every = staged(anchors(documents, k), "anchors")
     several = every.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
-    shared = staged(every.join(several.select("anchor"), "anchor"), "shared")
+    # Written first: the join then reads two plain shuffles, of which hot parts can be split.
+    several = staged(several.select("anchor"), "several")
+    shared = staged(every.join(several, "anchor"), "shared")
     of_doc = shared.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
     texts = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
         "doc_id", F.xxhash64("text").alias("text_key"), raw_text().alias("text"))
@@ -129,7 +131,7 @@ def compact(places: DataFrame) -> DataFrame:
                 F.col("at.text_key").alias("source_key"), F.col("at.start").alias("source_start")), "repeated")
     out = repeated.groupBy("head").count().where("count = 1").select("head")
     in_ = repeated.groupBy(F.col("tail").alias("head")).count().where("count = 1").select("head")
-    plain = out.join(in_, "head").withColumn("plain", F.lit(True))
+    plain = staged(out.join(in_, "head").withColumn("plain", F.lit(True)), "plain")
     by_source = Window.partitionBy("source", "source_key").orderBy("source_start")
     follows = F.col("plain") & (F.col("source_start") == F.lag("source_start").over(by_source) + 1)
     return (

@@ -204,8 +204,10 @@ class Join:
         """(token, node, n) of tokens that several classes have."""
         every = staged(entries(self.documents, self.frequent, self.boundary), "entries")
         several = every.groupBy("token").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
-        shared = staged(every.join(several.select("token"), "token"), "shared")
-        nodes = self.rows.join(self.classes, "key").select("doc_id", "node").distinct()
+        # Written first: the join then reads two plain shuffles, of which hot parts can be split.
+        several = staged(several.select("token"), "several")
+        shared = staged(every.join(several, "token"), "shared")
+        nodes = staged(self.rows.join(self.classes, "key").select("doc_id", "node").distinct(), "nodes")
         own = shared.join(nodes, "doc_id").groupBy("token", "node").agg(F.max("n").alias("n"))
         return self._distinct_lists(staged(own, "lists"))
 
@@ -215,7 +217,8 @@ class Join:
         member = lambda seed: F.sum(F.xxhash64(F.lit(seed), "node", "n").cast("decimal(20,0)"))
         marks = lists.groupBy("token").agg(F.count(F.lit(1)).alias("members"), member(1).alias("s"), member(2).alias("t"))
         kept = marks.where("members > 1").groupBy("members", "s", "t").agg(F.min("token").alias("token"))
-        return staged(lists.join(kept.select("token"), "token"), "lists")
+        kept = staged(kept.select("token"), "kept")
+        return staged(lists.join(kept, "token"), "lists")
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link."""
@@ -239,10 +242,10 @@ class Join:
                 order = F.col("p") < F.col("node")
             else:
                 # Ranked by hash; the rank limit is applied before the shuffle.
-                lowest = _lowest(lists, draw, pivots)
-                first = lists.join(lowest, ["token", "node"]).select(
+                lowest = staged(_lowest(lists, draw, pivots), "lowest")
+                first = staged(lists.join(lowest, ["token", "node"]).select(
                     "token", F.col("node").alias("p"), F.col("n").alias("pn"),
-                    *([F.col("label").alias("pl")] if label is not None else []))
+                    *([F.col("label").alias("pl")] if label is not None else [])), "first")
                 order = F.col("p") != F.col("node")
             pairs = lists.join(first, "token").where(order & (4 * F.least("n", "pn") >= 3 * F.greatest("n", "pn")))
             if label is not None:
@@ -257,7 +260,8 @@ class Join:
             rest = rest.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
             rest = staged(rest, "rest")
             open_ = rest.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
-            lists = self._distinct_lists(staged(rest.join(open_.select("token"), "token"), "open"))
+            open_ = staged(open_.select("token"), "unsettled")
+            lists = self._distinct_lists(staged(rest.join(open_, "token"), "open"))
             if lists.isEmpty():
                 break
         return label
