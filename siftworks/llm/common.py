@@ -26,21 +26,38 @@ def raw_text(text: str = "text"):
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def staged(frame: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back.
-
-    The write's own shuffle files are removed when it is done, as the table holds all
-    that later steps need.
-    """
+def _write(staging: Staging, frame: DataFrame, name: str) -> DataFrame:
+    """Write a table; the write's own shuffle files go when it is done, as the table holds all."""
     conf = frame.sparkSession.conf
     before = conf.get(SHUFFLE_CLEANUP, None)
     conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        return Staging(frame.sparkSession).write(frame, name).frame
+        return staging.write(frame, name).frame
     finally:
         conf.unset(SHUFFLE_CLEANUP) if before is None else conf.set(SHUFFLE_CLEANUP, before)
 
 
+def staged(frame: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back."""
+    return _write(Staging(frame.sparkSession), frame, name)
+
+
+class Scratch:
+    """Tables that later steps of one block need, removed at its end."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._staging = Staging(spark)
+
+    def __call__(self, frame: DataFrame, name: str) -> DataFrame:
+        return _write(self._staging, frame, name)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self._staging.drop()
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """The rows of Arrow batches as tuples, a batch at a time."""
     for batch in batches:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import staged
+from siftworks.llm.common import Scratch, staged
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,25 +16,26 @@ def components(links: DataFrame) -> DataFrame:
     smallest nodes, after about log n rounds. Smallest neighbours are combined before the
     shuffle; the join that follows splits a node with very many links.
     """
-    edges = staged(
-        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    before = None
-    while True:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # Written first: the join then reads two plain shuffles, of which hot parts can be split.
-        least = staged(both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m")), "least")
-        large = staged(
-            both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .where("u <> v").distinct(), "links")
-        # Here u > v always: a node's smaller neighbours and itself go to the smallest.
-        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        edges = staged(
-            large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-            .where("u <> v").distinct(), "links")
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
-    roots = edges.select(F.col("v").alias("node")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
-        roots.select("node", F.col("node").alias("label")))
+    with Scratch(links.sparkSession) as scratch:
+        edges = scratch(
+            links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+        before = None
+        while True:
+            both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            # Written first: the join then reads two plain shuffles, of which hot parts can be split.
+            least = scratch(both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m")), "least")
+            large = scratch(
+                both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                .where("u <> v").distinct(), "links")
+            # Here u > v always: a node's smaller neighbours and itself go to the smallest.
+            least = scratch(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+            edges = scratch(
+                large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+                .where("u <> v").distinct(), "links")
+            state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+            if state == before:
+                break
+            before = state
+        roots = edges.select(F.col("v").alias("node")).distinct()
+        return staged(edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
+            roots.select("node", F.col("node").alias("label"))), "labels")

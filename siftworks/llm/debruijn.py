@@ -5,14 +5,14 @@ k - 1 words. Only edges that start in several documents matter. To find them wit
 moving every window, each window first names its anchor: the smallest hash among its
 runs of ``ANCHOR`` words, which equal windows share. Consecutive windows mostly share
 anchors too, so there are about a fifth as many; windows whose anchor stands in one
-document only are done. The others are edges, keyed by 128 bits of hash.
+document only are done. Exact copies are set aside first: all their windows start in
+the smallest of them. The other windows are edges, keyed by 96 bits of hash.
 
-Of every repeated edge the first source place (smallest document, then word) is kept.
-Where a node has one repeated edge in and one out, the edges on both sides that follow
-each other in their source are one path; these joins compact the graph into its
-nonbranching paths. Every other occurrence of an edge is checked against the source
-coordinates: an occurrence run continues while document and source advance together
-along one path. Each place is joined to one source, never to all other places.
+Of every repeated edge the first source place (smallest document, then word) is kept, and
+joined to its other occurrences; each place meets one source, never all other places.
+Edges that follow each other both in a document and at their source coordinates compact
+into one path; where the two part, the graph branches and another path begins. A path
+is thereby verified word by word along its source, and carries its coordinates.
 
 A word is removed if a window that covers it also starts in a document with a smaller
 id. All windows are judged on the input.
@@ -29,10 +29,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import raw_text, rows_of, staged
+from siftworks.llm.common import Scratch, raw_text, rows_of, staged
+from siftworks.llm.mixing import word_count
 from siftworks.llm.shingles import WordNumbers, runs
 
 WINDOW, ANCHOR = 13, 5
@@ -79,96 +80,119 @@ def _anchor_batch(held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
         [pa.array(np.concatenate([f for _, f in held]).view(np.int64)), pa.array(docs)], names=["anchor", "doc_id"])
 
 
-def edges(documents: DataFrame, k: int) -> DataFrame:
-    """Windows whose anchor stands in several documents.
-
-    (e1, e2): hash of the window; (head, tail): hashes of its nodes; place: doc_id, text_key, start.
-    """
-    every = staged(anchors(documents, k), "anchors")
-    several = every.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
-    # Written first: the join then reads two plain shuffles, of which hot parts can be split.
-    several = staged(several.select("anchor"), "several")
-    shared = staged(every.join(several, "anchor"), "shared")
-    of_doc = shared.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
+def exact_copies(documents: DataFrame) -> DataFrame:
+    """Documents whose text a smaller id has too: doc_id, text_key, n_words, source."""
+    rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
+        "doc_id", text_key(), F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(5), "text").alias("t2"),
+        word_count(F.col("text")).alias("n_words"))
+    with Scratch(documents.sparkSession) as scratch:
+        rows = scratch(rows, "texts")
+        first = rows.groupBy("t1", "t2").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))
+        first = scratch(first.where("source < last").drop("last"), "first")
+        return staged(rows.join(first, ["t1", "t2"]).where("doc_id > source")
+                      .select("doc_id", "text_key", "n_words", "source"), "copies")
+
+
+def text_key() -> Column:
+    """Tells rows of one id apart by their texts."""
+    return F.pmod(F.xxhash64("text"), F.lit(1 << 31)).cast("int").alias("text_key")
+
+
+def shared_anchors(documents: DataFrame, copies: DataFrame, k: int) -> DataFrame:
+    """(anchor, doc_id) of anchors in several documents that aren't exact copies."""
+    with Scratch(documents.sparkSession) as scratch:
+        rows = scratch(anchors(documents, k), "anchors")
+        for without in (None, copies.select("doc_id").distinct()):
+            if without is not None:
+                rows = scratch(rows.join(without, "doc_id", "left_anti"), "originals")
+            several = rows.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+            # Written first: the join then reads two plain shuffles, of which hot parts can be split.
+            several = scratch(several.where("a < b").select("anchor"), "several")
+            rows = scratch(rows.join(several, "anchor"), "shared")
+        return staged(rows.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors")), "of_doc")
+
+
+def edges(documents: DataFrame, copies: DataFrame, k: int) -> DataFrame:
+    """Windows whose anchor stands in several documents: e1, e2 (96 bits of hash), doc_id, text_key, start."""
+    of_doc = shared_anchors(documents, copies, k)
     texts = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
-        "doc_id", F.xxhash64("text").alias("text_key"), raw_text().alias("text"))
+        "doc_id", text_key(), raw_text().alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = WordNumbers()
+        held: list[list[np.ndarray]] = []
+        count = 0
         for batch in batches:
-            listed = batch.column("anchors")
-            keys = zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(),
-                       batch.column("text"), listed, strict=True)
-            for doc, key, text, known in keys:
+            rows = zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(),
+                       batch.column("text"), batch.column("anchors"), strict=True)
+            for doc, key, text, known in rows:
                 own = numbers(text.as_py().split())
                 known = known.values.to_numpy(zero_copy_only=False).view(np.uint64)
                 start = np.flatnonzero(np.isin(window_anchors(own, k), known))
-                if len(start):
-                    nodes = runs(own, k - 1, 3)
-                    yield pa.RecordBatch.from_arrays([
-                        *[pa.array(h.view(np.int64)) for h in (
-                            runs(own, k, 1)[start], runs(own, k, 2)[start], nodes[start], nodes[start + 1])],
-                        pa.array(np.full(len(start), doc)), pa.array(np.full(len(start), key)),
-                        pa.array(start.astype(np.int32)),
-                    ], names=["e1", "e2", "head", "tail", "doc_id", "text_key", "start"])
+                held.append([runs(own, k, 1)[start].view(np.int64), runs(own, k, 2)[start].astype(np.uint32).view(np.int32),
+                             np.full(len(start), doc), np.full(len(start), key, np.int32), start.astype(np.int32)])
+                count += len(start)
+                if count > 200_000:
+                    yield _edge_batch(held)
+                    held, count = [], 0
+        if held:
+            yield _edge_batch(held)
 
-    return texts.join(of_doc, "doc_id").mapInArrow(
-        run, "e1 long, e2 long, head long, tail long, doc_id long, text_key long, start int")
+    return texts.join(of_doc, "doc_id").mapInArrow(run, "e1 long, e2 int, doc_id long, text_key int, start int")
 
 
-def compact(places: DataFrame) -> DataFrame:
-    """Repeated edges with their first source place and the path they are on.
+def _edge_batch(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate(column)) for column in zip(*held, strict=True)],
+        names=["e1", "e2", "doc_id", "text_key", "start"])
 
-    (e1, e2, source, source_key, source_start, path): path is the first edge's start.
-    """
-    place = F.struct("doc_id", "text_key", "start")
-    repeated = staged(
-        places.groupBy("e1", "e2").agg(
-            F.min(place).alias("at"), F.max("doc_id").alias("last"),
-            F.min("head").alias("head"), F.min("tail").alias("tail"))
-        .where("last > at.doc_id")
-        .select("e1", "e2", "head", "tail", F.col("at.doc_id").alias("source"),
-                F.col("at.text_key").alias("source_key"), F.col("at.start").alias("source_start")), "repeated")
-    out = repeated.groupBy("head").count().where("count = 1").select("head")
-    in_ = repeated.groupBy(F.col("tail").alias("head")).count().where("count = 1").select("head")
-    plain = staged(out.join(in_, "head").withColumn("plain", F.lit(True)), "plain")
-    by_source = Window.partitionBy("source", "source_key").orderBy("source_start")
-    follows = F.col("plain") & (F.col("source_start") == F.lag("source_start").over(by_source) + 1)
+
+_SHIFT = 1 << 32
+
+
+def sources(places: DataFrame) -> DataFrame:
+    """Repeated edges with their first source place: e1, e2, source, source_start."""
+    # One number per place, so that the smallest is kept in a hash table, without sorting.
+    place = (F.col("doc_id").cast("decimal(20,0)") * (1 << 32) + F.col("start")).cast("decimal(38,0)")
+    first = places.groupBy("e1", "e2").agg(F.min(place).alias("at"), F.max("doc_id").alias("last"))
+    start = F.pmod("at", F.lit(_SHIFT).cast("decimal(38,0)"))
     return (
-        repeated.join(plain, "head", "left")
-        .withColumn("first", F.when(~F.coalesce(follows, F.lit(False)), F.col("source_start")))
-        .withColumn("path", F.max("first").over(by_source))
-        .select("e1", "e2", "source", "source_key", "source_start", "path")
+        first.withColumn("source_start", start.cast("int"))
+        .withColumn("source", ((F.col("at") - start) / F.lit(_SHIFT).cast("decimal(11,0)")).cast("long"))
+        .where("last > source").select("e1", "e2", "source", "source_start")
     )
 
 
 def repeated_spans(documents: DataFrame, k: int = WINDOW) -> DataFrame:
-    """Maximal runs of words along one path that a smaller document has too.
+    """Maximal paths of words that a document with a smaller id has too.
 
     (doc_id, text_key, first_word, last_word, source, source_word), words from 0.
     """
-    places = staged(edges(documents, k), "edges")
-    paths = staged(compact(places), "paths")
-    found = (
-        places.select("e1", "e2", "doc_id", "text_key", "start").join(paths, ["e1", "e2"])
-        .where("doc_id > source")
-        .select("doc_id", "text_key", "start", "source", "source_key", "source_start", "path")
-    )
-    order = Window.partitionBy("doc_id", "text_key").orderBy("start")
-    before = lambda c: F.lag(c).over(order)
-    step = F.col("start") - before("start")
-    same = (
-        (step <= 1) & (F.col("source") == before("source")) & (F.col("source_key") == before("source_key"))
-        & (F.col("path") == before("path")) & (F.col("source_start") - before("source_start") == step)
-    )
-    return (
-        found.withColumn("new", F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1))
-        .withColumn("run", F.sum("new").over(order))
-        .groupBy("doc_id", "text_key", "run", "source")
-        .agg(F.min("start").alias("first_word"), (F.max("start") + (k - 1)).alias("last_word"),
-             F.min("source_start").alias("source_word"))
-        .drop("run")
-    )
+    copies = exact_copies(documents)
+    with Scratch(documents.sparkSession) as scratch:
+        places = scratch(edges(documents, copies, k), "edges")
+        first = scratch(sources(places), "sources")
+        found = places.join(first, ["e1", "e2"]).where("doc_id > source").select(
+            "doc_id", "text_key", "start", "source", "source_start")
+        order = Window.partitionBy("doc_id", "text_key").orderBy("start")
+        before = lambda c: F.lag(c).over(order)
+        step = F.col("start") - before("start")
+        same = (
+            (step <= 1) & (F.col("source") == before("source"))
+            & (F.col("source_start") - before("source_start") == step)
+        )
+        paths = (
+            found.withColumn("new", F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1))
+            .withColumn("path", F.sum("new").over(order))
+            .groupBy("doc_id", "text_key", "path", "source")
+            .agg(F.min("start").alias("first_word"), (F.max("start") + (k - 1)).alias("last_word"),
+                 F.min("source_start").alias("source_word"))
+            .drop("path")
+        )
+        whole = copies.where(F.col("n_words") >= k).select(
+            "doc_id", "text_key", "source", F.lit(0).alias("first_word"),
+            (F.col("n_words") - 1).cast("int").alias("last_word"), F.lit(0).alias("source_word"))
+        return staged(paths.unionByName(whole), "spans")
 
 
 def remove_spans(documents: DataFrame, spans: DataFrame) -> DataFrame:
@@ -197,7 +221,7 @@ def remove_spans(documents: DataFrame, spans: DataFrame) -> DataFrame:
             if rows:
                 yield _kept_batch(rows)
 
-    texts = documents.select("doc_id", F.xxhash64("text").alias("text_key"), raw_text().alias("text"))
+    texts = documents.select("doc_id", text_key(), raw_text().alias("text"))
     joined = texts.join(of_doc, (F.col("doc_id") == F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
     return joined.select("doc_id", "text", "cut").mapInArrow(
         run, "doc_id long, n_words long, n_removed long, kept binary")

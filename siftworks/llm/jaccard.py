@@ -34,11 +34,11 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftworks.llm.chains import mixed
-from siftworks.llm.common import raw_text, rows_of, staged
+from siftworks.llm.common import Scratch, raw_text, rows_of, staged
 from siftworks.llm.components import components
 from siftworks.llm.shingles import WordNumbers, shingle_set
 
@@ -103,6 +103,8 @@ def entries(documents: DataFrame, frequent: np.ndarray, boundary: int) -> DataFr
     """(token, node, n): subsets of light sets and prefix shingles of the others."""
     ranks = np.argsort(frequent, kind="stable")
     ordered = frequent[ranks]
+    maybe = np.zeros(1 << 22, bool)  # low bits of frequent shingles: few others need the search
+    maybe[(frequent & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
     picks = {(n, o): np.array(list(combinations(range(n), o)), np.int64)
              for n in range(1, boundary + 1) for o in subset_sizes(n, boundary)}
 
@@ -113,11 +115,13 @@ def entries(documents: DataFrame, frequent: np.ndarray, boundary: int) -> DataFr
                 out.append(mixed(mixed(found[picks[n, o]]).sum(axis=1, dtype=np.uint64) + np.uint64(o)))
         if n > boundary or 4 * n >= 3 * (boundary + 1):
             length = n // 4 + 1
-            at = np.minimum(np.searchsorted(ordered, found), max(len(ordered) - 1, 0))
-            often = ordered[at] == found if len(ordered) else np.zeros(n, bool)
+            often = maybe[(found & np.uint64((1 << 22) - 1)).astype(np.int64)]
+            likely = found[often]
+            at = np.minimum(np.searchsorted(ordered, likely), max(len(ordered) - 1, 0))
+            often[often] = ordered[at] == likely if len(ordered) else False
             rare = found[~often][:length]
             if len(rare) < length:
-                rest = found[often][np.argsort(ranks[at[often]], kind="stable")]
+                rest = found[often][np.argsort(ranks[np.searchsorted(ordered, found[often])], kind="stable")]
                 rare = np.concatenate([rare, rest[:length - len(rare)]])
             out.append(rare)
         return np.unique(np.concatenate(out)) if out else found[:0]
@@ -186,7 +190,7 @@ class Join:
     """The classes of a table of documents, their lists, and the links found so far."""
 
     def __init__(self, documents: DataFrame) -> None:
-        self.documents = documents
+        self.documents, self.spark = documents, documents.sparkSession
         measured = staged(_texts(documents).mapInArrow(
             _measure, "doc_id long, n long, key binary, shingle long, docs long"), "measured")
         self.rows = measured.where("n IS NOT NULL").select("doc_id", "n", "key")
@@ -202,69 +206,77 @@ class Join:
 
     def lists(self) -> DataFrame:
         """(token, node, n) of tokens that several classes have."""
-        every = staged(entries(self.documents, self.frequent, self.boundary), "entries")
-        several = every.groupBy("token").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
-        # Written first: the join then reads two plain shuffles, of which hot parts can be split.
-        several = staged(several.select("token"), "several")
-        shared = staged(every.join(several, "token"), "shared")
-        nodes = staged(self.rows.join(self.classes, "key").select("doc_id", "node").distinct(), "nodes")
-        own = shared.join(nodes, "doc_id").groupBy("token", "node").agg(F.max("n").alias("n"))
-        return self._distinct_lists(staged(own, "lists"))
-
-    @staticmethod
-    def _distinct_lists(lists: DataFrame) -> DataFrame:
+        with Scratch(self.spark) as scratch:
+            every = scratch(entries(self.documents, self.frequent, self.boundary), "entries")
+            several = every.groupBy("token").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
+            # Written first: the join then reads two plain shuffles, of which hot parts can be split.
+            several = scratch(several.select("token"), "several")
+            shared = scratch(every.join(several, "token"), "shared")
+            nodes = scratch(self.rows.join(self.classes, "key").select("doc_id", "node").distinct(), "nodes")
+            own = shared.join(nodes, "doc_id").groupBy("token", "node").agg(F.max("n").alias("n"))
+            return self._distinct_lists(scratch(own, "lists"))
+
+    def _distinct_lists(self, lists: DataFrame) -> DataFrame:
         """One of the lists that have the same members (128 bits of sums), of two or more."""
         member = lambda seed: F.sum(F.xxhash64(F.lit(seed), "node", "n").cast("decimal(20,0)"))
         marks = lists.groupBy("token").agg(F.count(F.lit(1)).alias("members"), member(1).alias("s"), member(2).alias("t"))
         kept = marks.where("members > 1").groupBy("members", "s", "t").agg(F.min("token").alias("token"))
-        kept = staged(kept.select("token"), "kept")
-        return staged(lists.join(kept, "token"), "lists")
+        with Scratch(self.spark) as scratch:
+            return staged(lists.join(scratch(kept.select("token"), "kept"), "token"), "lists")
 
-    def verify(self, pairs: DataFrame) -> DataFrame:
+    def sets(self, lists: DataFrame) -> DataFrame:
+        """(doc_id, found): the shingles of all nodes in lists."""
+        nodes = lists.select(F.col("node").alias("doc_id")).distinct()
+        return _texts(self.documents).join(nodes, "doc_id").mapInArrow(_sets, "doc_id long, found binary")
+
+    def verify(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs (a, b) that link."""
-        pairs = staged(pairs.distinct(), "pairs")
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = staged(_texts(self.documents).join(ends, "doc_id").mapInArrow(
-            _sets, "doc_id long, found binary").distinct(), "sets")
-        both = (
-            pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("found").alias("other")), "b")
-            .join(sets.select(F.col("doc_id").alias("a"), F.col("found").alias("own")), "a")
-        )
-        return staged(both.select("a", "b", "own", "other").mapInArrow(_verify, "a long, b long"), "found")
+        with Scratch(self.spark) as scratch:
+            pairs = scratch(pairs.distinct(), "pairs")
+            both = (
+                pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("found").alias("other")), "b")
+                .join(sets.select(F.col("doc_id").alias("a"), F.col("found").alias("own")), "a")
+            )
+            return staged(both.select("a", "b", "own", "other").mapInArrow(_verify, "a long, b long"), "found")
 
     def labels(self) -> DataFrame:
         """(node, label) of all nodes with a link."""
-        lists, links, label = self.lists(), None, None
-        for pivots in (*PIVOTS, None):
-            draw = F.xxhash64(F.lit(str(pivots)), "node")
-            if pivots is None:
-                first = lists.select("token", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("label").alias("pl"))
-                order = F.col("p") < F.col("node")
-            else:
-                # Ranked by hash; the rank limit is applied before the shuffle.
-                lowest = staged(_lowest(lists, draw, pivots), "lowest")
-                first = staged(lists.join(lowest, ["token", "node"]).select(
-                    "token", F.col("node").alias("p"), F.col("n").alias("pn"),
-                    *([F.col("label").alias("pl")] if label is not None else [])), "first")
-                order = F.col("p") != F.col("node")
-            pairs = lists.join(first, "token").where(order & (4 * F.least("n", "pn") >= 3 * F.greatest("n", "pn")))
-            if label is not None:
-                pairs = pairs.where("label <> pl")
-            found = self.verify(pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")))
-            links = found if links is None else links.union(found)
-            label = staged(components(links), "labels")
-            if pivots is None:
-                break
-            # Pivots are done; what is left matters where components still differ.
-            rest = lists.drop("label").join(first.select("token", F.col("p").alias("node")), ["token", "node"], "left_anti")
-            rest = rest.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            rest = staged(rest, "rest")
-            open_ = rest.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
-            open_ = staged(open_.select("token"), "unsettled")
-            lists = self._distinct_lists(staged(rest.join(open_, "token"), "open"))
-            if lists.isEmpty():
-                break
-        return label
+        lists = self.lists()
+        with Scratch(self.spark) as scratch:
+            sets = scratch(self.sets(lists), "sets")
+            links = label = None
+            for pivots in (*PIVOTS, None):
+                first = scratch(self._pivots(lists, pivots), "pivots")
+                pairs = lists.join(first, "token").where(4 * F.least("n", "pn") >= 3 * F.greatest("n", "pn"))
+                pairs = pairs.where("p <> node" if pivots else "p < node")
+                if label is not None:
+                    pairs = pairs.where("label <> pl")
+                found = self.verify(
+                    pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")), sets)
+                links = found if links is None else links.union(found)
+                label = components(links)
+                if pivots is None:
+                    break
+                # Pivots are done; what is left matters where components still differ.
+                done = first.select("token", F.col("p").alias("node"))
+                rest = lists.drop("label").join(done, ["token", "node"], "left_anti")
+                rest = scratch(rest.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")), "rest")
+                open_ = rest.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
+                open_ = scratch(open_.select("token"), "unsettled")
+                lists = self._distinct_lists(scratch(rest.join(open_, "token"), "open"))
+                if lists.isEmpty():
+                    break
+            return label
+
+    @staticmethod
+    def _pivots(lists: DataFrame, pivots: int | None) -> DataFrame:
+        """token, p, pn (and pl): the members of each list with the lowest hashes, or all."""
+        if pivots is not None:
+            # The rank limit is applied before the shuffle too.
+            order = Window.partitionBy("token").orderBy(F.xxhash64(F.lit(str(pivots)), "node"), "node")
+            lists = lists.withColumn("r", F.row_number().over(order)).where(F.col("r") <= pivots)
+        label = [F.col("label").alias("pl")] if "label" in lists.columns else []
+        return lists.select("token", F.col("node").alias("p"), F.col("n").alias("pn"), *label)
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id of every row."""
@@ -275,15 +287,6 @@ class Join:
             "doc_id", F.col("n").alias("n_shingles"), F.coalesce("_label", "doc_id").alias("component_id"))
 
 
-def _lowest(lists: DataFrame, draw: Column, k: int) -> DataFrame:
-    """(token, node): the k members of each list with the lowest draw."""
-    order = Window.partitionBy("token").orderBy("d", "node")
-    return (
-        lists.select("token", draw.alias("d"), "node").withColumn("r", F.row_number().over(order))
-        .where(F.col("r") <= k).select("token", "node")
-    )
-
-
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable by links) of every row."""
     return Join(documents).result()

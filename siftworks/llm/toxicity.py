@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from siftworks.llm.chains import Letters, Steps, Words, flat, groups, mixed
 from siftworks.llm.common import raw_text
 
-SAMPLE, LONGEST = 2_500, 100_000
+SAMPLE, LONGEST = 2_000, 100_000
 
 SCORED = pa.schema([
     ("doc_id", pa.int64()), ("score", pa.float64()),
