@@ -46,6 +46,8 @@ SIZE = 5
 #: Frequent shingles known to all tasks (8 bytes each), and the largest light set.
 FREQUENT, LARGEST_LIGHT = 100_000, 12
 PIVOTS = (1, 4, 16, 64)
+#: Cells of a set's profile: how many shingles fall into each, by their top bits.
+CELL_BITS = 7
 
 
 def least_overlap(n: int, m: int) -> int:
@@ -72,17 +74,24 @@ def choose_boundary(mean_list: float) -> int:
     return boundary
 
 
+def profile(found: np.ndarray) -> bytes:
+    """Counts per cell. Two sets share at most the sum over cells of the smaller count."""
+    cells = (found >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+    return np.bincount(cells, minlength=1 << CELL_BITS).astype("<u4").tobytes()
+
+
 def _measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document (size, key of its set), and shingles several of a batch share."""
     numbers = WordNumbers()
     for some in batches:
-        docs, sizes, keys, sets = [], [], [], []
+        docs, sizes, keys, sets, profiles = [], [], [], [], []
         for doc, text in rows_of([some]):
             found = shingle_set(numbers((text or b"").lower().split()), SIZE)
             docs.append(doc)
             sizes.append(len(found))
             keys.append(xxhash.xxh3_128_digest(found.tobytes()))
             sets.append(found)
+            profiles.append(profile(found))
         shared, counts = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
         shared, counts = shared[counts > 2], counts[counts > 2]
         none = [None] * len(docs)
@@ -90,6 +99,7 @@ def _measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "doc_id": pa.array([*docs, *[None] * len(shared)], pa.int64()),
             "n": pa.array([*sizes, *[None] * len(shared)], pa.int64()),
             "key": pa.array([*keys, *[None] * len(shared)], pa.binary()),
+            "profile": pa.array([*profiles, *[None] * len(shared)], pa.binary()),
             "shingle": pa.array([*none, *shared.view(np.int64).tolist()], pa.int64()),
             "docs": pa.array([*none, *counts.tolist()], pa.int64()),
         })
@@ -173,17 +183,37 @@ def _set_batch(docs: list[int], sets: list[bytes]) -> pa.RecordBatch:
         [pa.array(docs, pa.int64()), pa.array(sets, pa.binary())], names=["doc_id", "found"])
 
 
+def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _links(shared: int, n: int, m: int) -> bool:
+    return 100 * shared >= 75 * (n + m - shared)
+
+
+def _able(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose profiles allow the overlap a link needs."""
+    for some in batches:
+        a, b = [], []
+        for left, right, own, other in rows_of([some]):
+            x, y = np.frombuffer(own, "<u4"), np.frombuffer(other, "<u4")
+            if _links(int(np.minimum(x, y).sum()), int(x.sum()), int(y.sum())):
+                a.append(left)
+                b.append(right)
+        yield _pairs(a, b)
+
+
 def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sets link."""
     for some in batches:
         a, b = [], []
         for left, right, own, other in rows_of([some]):
             x, y = np.frombuffer(own, np.uint64), np.frombuffer(other, np.uint64)
             at = np.searchsorted(x, y)
-            shared = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-            if 100 * shared >= 75 * (len(x) + len(y) - shared):
+            if _links(int((x[np.minimum(at, len(x) - 1)] == y).sum()), len(x), len(y)):
                 a.append(left)
                 b.append(right)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        yield _pairs(a, b)
 
 
 class Join:
@@ -192,8 +222,9 @@ class Join:
     def __init__(self, documents: DataFrame) -> None:
         self.documents, self.spark = documents, documents.sparkSession
         measured = staged(_texts(documents).mapInArrow(
-            _measure, "doc_id long, n long, key binary, shingle long, docs long"), "measured")
+            _measure, "doc_id long, n long, key binary, profile binary, shingle long, docs long"), "measured")
         self.rows = measured.where("n IS NOT NULL").select("doc_id", "n", "key")
+        profiles = measured.where("n > 0").select("key", "profile")
         shared = measured.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("docs").alias("docs"))
         # A bounded list in falling frequency; the order of the rest is by hash.
         top = shared.orderBy(F.desc("docs"), "shingle").limit(FREQUENT).collect()
@@ -203,6 +234,10 @@ class Join:
         self.frequent = np.array([r["shingle"] for r in top][::-1], np.int64).view(np.uint64)
         self.classes = staged(
             self.rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("node")), "classes")
+        # Rows with one key have one profile; those of classes without an id are not needed.
+        self.profiles = staged(
+            profiles.groupBy("key").agg(F.first("profile").alias("profile")).join(self.classes, "key")
+            .select("node", "profile"), "profiles")
 
     def lists(self) -> DataFrame:
         """(token, node, n) of tokens that several classes have."""
@@ -224,26 +259,24 @@ class Join:
         with Scratch(self.spark) as scratch:
             return staged(lists.join(scratch(kept.select("token"), "kept"), "token"), "lists")
 
-    def sets(self, lists: DataFrame) -> DataFrame:
-        """(doc_id, found): the shingles of all nodes in lists."""
-        nodes = lists.select(F.col("node").alias("doc_id")).distinct()
-        return _texts(self.documents).join(nodes, "doc_id").mapInArrow(_sets, "doc_id long, found binary")
-
-    def verify(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """The pairs (a, b) that link."""
+    def verify(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that link: first by their profiles' bound, then by their sets."""
+        both = lambda pairs, table, node, value: (
+            pairs.join(table.select(F.col(node).alias("b"), F.col(value).alias("other")), "b")
+            .join(table.select(F.col(node).alias("a"), F.col(value).alias("own")), "a")
+            .select("a", "b", "own", "other"))
         with Scratch(self.spark) as scratch:
             pairs = scratch(pairs.distinct(), "pairs")
-            both = (
-                pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("found").alias("other")), "b")
-                .join(sets.select(F.col("doc_id").alias("a"), F.col("found").alias("own")), "a")
-            )
-            return staged(both.select("a", "b", "own", "other").mapInArrow(_verify, "a long, b long"), "found")
+            able = scratch(both(pairs, self.profiles, "node", "profile").mapInArrow(_able, "a long, b long").distinct(), "able")
+            ends = scratch(able.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends")
+            sets = scratch(_texts(self.documents).join(ends, "doc_id").mapInArrow(
+                _sets, "doc_id long, found binary"), "sets")
+            return staged(both(able, sets, "doc_id", "found").mapInArrow(_verify, "a long, b long"), "found")
 
     def labels(self) -> DataFrame:
         """(node, label) of all nodes with a link."""
         lists = self.lists()
         with Scratch(self.spark) as scratch:
-            sets = scratch(self.sets(lists), "sets")
             links = label = None
             for pivots in (*PIVOTS, None):
                 first = scratch(self._pivots(lists, pivots), "pivots")
@@ -252,7 +285,7 @@ class Join:
                 if label is not None:
                     pairs = pairs.where("label <> pl")
                 found = self.verify(
-                    pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")), sets)
+                    pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")))
                 links = found if links is None else links.union(found)
                 label = components(links)
                 if pivots is None:
