@@ -44,16 +44,19 @@ def money_cents(text: Column) -> Column:
 
 def canonical_number(value: Column) -> Column:
     """Plain decimal text of a double, without trailing zeros: 60.0 becomes 60."""
-    def plain(scale: int) -> Column:
-        digits = value.try_cast(f"decimal(38,{scale})").cast("string")
-        return F.regexp_replace(digits, r"\.?0+\z", "")
-
-    size = F.abs(value)
-    short = F.regexp_replace(value.cast("string"), r"\.0\z", "")
+    text = value.cast("string")
+    part = lambda i: F.regexp_extract(text, r"^-?([0-9]+)\.([0-9]+)E(-?[0-9]+)\z", i)
+    # All digits of d.dddEx; the point belongs after x more of them.
+    digits = F.rtrim(F.concat(part(1), part(2)), F.lit("0"))
+    power = part(3).try_cast("int")
+    whole = F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, F.lit("0"))
+    rest = F.substring(digits, power + 2, F.length(digits))
+    large = F.when(rest == "", whole).otherwise(F.concat(whole, F.lit("."), rest))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    sign = F.when(value < 0, "-").otherwise("")
     return (
-        F.when((size >= 1e-3) & (size < 1e7), short)
-        .when(size == 0, F.lit("0"))
-        .when((size >= 1e7) & (size < 1e19), plain(18))
-        .when((size >= 1e-12) & (size < 1e-3), plain(30))
-        .otherwise(value.cast("string"))
+        F.when(value == 0, F.lit("0"))
+        .when(power >= 0, F.concat(sign, large))
+        .when(power < 0, F.concat(sign, small))
+        .otherwise(F.regexp_replace(text, r"\.0\z", ""))
     )

@@ -7,6 +7,7 @@ sorted and no row leaves its task to be numbered.
 
 from __future__ import annotations
 
+import codecs
 import csv
 import hashlib
 import io
@@ -58,18 +59,33 @@ def _open_bytes(uri: str):
     return filesystem.open_input_stream(path)
 
 
+def _check_closed(uri: str) -> None:
+    """Raise csv.Error if a quoted field is never closed; a quote within a plain field is fine."""
+    csv.field_size_limit(1 << 30)
+    with _open_bytes(uri) as stream:
+        for _ in csv.reader(io.TextIOWrapper(stream, "utf-8-sig", newline=""), strict=True):
+            pass
+
+
 def _inspect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found = []
         for item in batch.itertuples(index=False):
-            digest, quotes, head = hashlib.sha256(), 0, b""
-            with _open_bytes(item.uri) as stream:
-                while chunk := stream.read(_CHUNK):
-                    digest.update(chunk)
-                    quotes += chunk.count(b'"')
-                    head = head or chunk
-            text = io.StringIO(head.decode("utf-8-sig", errors="replace"), newline="")
-            header = next(csv.reader(text), [])
+            digest, quotes, head = hashlib.sha256(), 0, None
+            decoder = codecs.getincrementaldecoder("utf-8-sig")()
+            try:
+                with _open_bytes(item.uri) as stream:
+                    while chunk := stream.read(_CHUNK):
+                        digest.update(chunk)
+                        quotes += chunk.count(b'"')
+                        text = decoder.decode(chunk)
+                        head = text if head is None else head
+                decoder.decode(b"", final=True)
+                if quotes % 2:
+                    _check_closed(item.uri)
+            except (UnicodeDecodeError, csv.Error) as error:
+                raise ValueError(f"Malformed CSV file {item.file}: {error}") from error
+            header = next(csv.reader(io.StringIO(head or "", newline="")), [])
             found.append((item.file, item.uri, item.bytes, digest.hexdigest(), quotes, header))
         yield pd.DataFrame(found, columns=["file", "uri", "bytes", "sha256", "quotes", "header"])
 
@@ -140,7 +156,6 @@ def _read(spark: SparkSession, group: Sequence[SourceFile], multi_line: bool) ->
         spark.read.schema(schema)
         .option("header", True)
         .option("escape", '"')
-        .option("nullValue", "\u0001")
         .option("emptyValue", "")
         .option("multiLine", multi_line)
         .csv([_literal_path(s.uri) for s in group])

@@ -11,19 +11,9 @@ from siftworks.functions.identity import record_id
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """A Parquet table, pruned to ``columns``.
-
-    A table with fewer splits than the cluster has cores, such as one small
-    file, is spread over the cores before the row-wise work that follows. A
-    large table has splits enough and is left as it is.
-    """
+    """A Parquet table, pruned to ``columns``."""
     table = spark.read.parquet(path)
-    if columns:
-        table = table.select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() < cores:
-        return table.repartition(cores)
-    return table
+    return table.select(*columns) if columns else table
 
 
 def read_with_lineage(spark: SparkSession, path: str, digest: str) -> DataFrame:

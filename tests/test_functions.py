@@ -1,5 +1,6 @@
 """Scalar functions on ordinary, awkward and hostile values."""
 
+from decimal import Decimal
 import hashlib
 import json
 import unicodedata
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siftworks.config import JobConfig
 from siftworks.functions import identity, numbers, periods, terms, text
+from siftworks.functions.numbers import canonical_number
 
 
 def test_money_is_exact_and_strict(evaluate):
@@ -112,3 +114,9 @@ def test_configuration_is_checked():
     ):
         with pytest.raises(ValueError):
             JobConfig(**bad)
+
+
+def test_canonical_number_is_always_plain(evaluate):
+    values = [1e19, -1.5e22, 1e-13, 1.25e-7, 12345678.901, 60.0, 0.0, -0.001, 1e300]
+    found = evaluate(canonical_number, values, "double")
+    assert found == [f"{Decimal(repr(v)).normalize():f}" if v else "0" for v in values]

@@ -160,3 +160,24 @@ def test_parquet_rows_carry_lineage(spark, tmp_path):
     rows = read_with_lineage(spark, str(tmp_path / "t"), "d")
     assert rows.where(F.col("_source_row") != F.col("id") + 1).count() == 0
     assert rows.select("_source_record_id").distinct().count() == 100
+
+
+@pytest.mark.parametrize("damage", [b"\xff\xfe", b'"never closed\n'])
+def test_a_broken_file_stops_the_run_and_is_named(spark, raw, tmp_path, damage):
+    with (raw / "current.csv").open("ab") as stream:
+        stream.write(b"x" + damage if damage[:1] == b"\xff" else damage)
+    with pytest.raises(Exception, match="Malformed CSV file current.csv"):
+        run_job(spark, raw, tmp_path / "out")
+    assert not (tmp_path / "out" / "_SUCCESS.json").exists()
+
+
+def test_control_characters_and_lone_quotes_stay(spark, tmp_path, staging):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    plain = {**BASE, "note": "\x01", "size": ""}
+    write(folder / "a.csv", [plain])
+    text = (folder / "a.csv").read_text(encoding="utf-8")
+    last = text.splitlines()[-1].rsplit(",", 1)[0] + ',5" pipe\n'
+    (folder / "a.csv").write_bytes((text + last).encode())
+    found = scan_csv(spark, str(folder), JobConfig(), staging).master.orderBy("_source_row").collect()
+    assert [(r.note, r["size"]) for r in found] == [("\x01", ""), ("\x01", '5" pipe')]
