@@ -259,32 +259,32 @@ def _describe(column: str) -> str:
 
 
 _CHECKS = {
-    "every master row appears once in cleaned or quarantined": "SELECT count(*) FROM decisions",
-    "transformed and hashed align with cleaned": "SELECT count(*) FROM decisions",
-    "lease quotient and remainder agree": "SELECT count(*) FROM cleaned",
-    "lease residual months in 0..11": "SELECT count(*) FROM cleaned",
-    "recorded transaction period respected": "SELECT count(*) FROM cleaned",
-    "cleaned reference membership: town": "SELECT count(*) FROM cleaned",
-    "cleaned reference membership: flat_type": "SELECT count(*) FROM cleaned",
-    "cleaned reference membership: flat_model": "SELECT count(*) FROM cleaned",
-    "cleaned reference membership: storey_range": "SELECT count(*) FROM cleaned",
-    "no duplicate composite keys remain": "SELECT count(*) FROM cleaned",
-    "composite-key record hashes are unique": "SELECT count(*) FROM cleaned",
-    "quarantined source attributes match master":
+    "row_has_one_outcome": "SELECT count(*) FROM decisions",
+    "widenings_follow_cleaned": "SELECT count(*) FROM decisions",
+    "term_parts_add_up": "SELECT count(*) FROM cleaned",
+    "term_months_below_twelve": "SELECT count(*) FROM cleaned",
+    "month_in_scope": "SELECT count(*) FROM cleaned",
+    "known_value:town": "SELECT count(*) FROM cleaned",
+    "known_value:flat_type": "SELECT count(*) FROM cleaned",
+    "known_value:flat_model": "SELECT count(*) FROM cleaned",
+    "known_value:storey_range": "SELECT count(*) FROM cleaned",
+    "one_row_per_key": "SELECT count(*) FROM cleaned",
+    "record_digest_unique": "SELECT count(*) FROM cleaned",
+    "quarantine_text_unchanged":
         "SELECT count(*) FROM decisions WHERE stage <> 'cleaned'",
-    "suppressed duplicates never exceed their reference price":
+    "loser_not_above_winner":
         "SELECT count(*) FROM decisions WHERE stage = 'duplicate'",
-    "duplicate references survive as cleaned or anomaly":
+    "winner_is_kept":
         "SELECT count(*) FROM decisions WHERE stage = 'duplicate'",
-    "readable identifier has the prescribed format": "SELECT count(*) FROM coded",
-    "literal SHA-256 matches every business identifier": "SELECT count(*) FROM coded",
-    "identifier group means recomputed from cleaned": "SELECT count(*) FROM coded",
-    "cleaned: CSV and Parquet hold the same rows": "SELECT count(*) FROM cleaned",
-    "transformed: CSV and Parquet hold the same rows": "SELECT count(*) FROM coded",
-    "hashed: CSV and Parquet hold the same rows": "SELECT count(*) FROM coded",
-    "quarantined: CSV and Parquet hold the same rows":
+    "code_form": "SELECT count(*) FROM coded",
+    "code_digest": "SELECT count(*) FROM coded",
+    "group_mean": "SELECT count(*) FROM coded",
+    "copies_agree:cleaned": "SELECT count(*) FROM cleaned",
+    "copies_agree:transformed": "SELECT count(*) FROM coded",
+    "copies_agree:hashed": "SELECT count(*) FROM coded",
+    "copies_agree:quarantined":
         "SELECT count(*) FROM decisions WHERE stage <> 'cleaned'",
-    "every source attribute retained": "SELECT CAST(10 * 5 AS BIGINT)",
+    "columns_kept": "SELECT CAST(10 * 5 AS BIGINT)",
 }
 
 

@@ -289,7 +289,7 @@ def identifier_collision_rows(spark, sf_dir):
     ).frame
     shared = groups.rows_sharing_code(coded, "Resale Identifier", staging, ["_source_row"])
     return shared.select(
-        "_source_row", F.col("Resale Identifier").alias("identifier"), F.col("n").alias("copies")
+        "_source_row", F.col("Resale Identifier").alias("identifier"), F.col("_sw_n").alias("copies")
     )
 
 

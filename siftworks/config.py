@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import asdict, dataclass
 
-MONTH = re.compile(r"[0-9]{4}-(?:0[1-9]|1[0-2])")
+from siftworks.functions.periods import MONTH_TEXT
 
 
 @dataclass(frozen=True)
@@ -29,7 +29,7 @@ class JobConfig:
             name: getattr(self, name)
             for name in ("start_month", "end_month", "reference_month", "registration_from")
         }
-        bad = {name: value for name, value in months.items() if not MONTH.fullmatch(value)}
+        bad = {name: value for name, value in months.items() if not re.fullmatch(MONTH_TEXT, value)}
         if bad:
             raise ValueError(f"Months must look like YYYY-MM: {bad}")
         if self.reference_month < self.start_month or self.reference_month > self.end_month:

@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The written form, and the months a nanosecond timestamp can hold.
-MONTH_FORM = r"^[0-9]{4}-(?:0[1-9]|1[0-2])\z"
+MONTH_TEXT = "[0-9]{4}-(?:0[1-9]|1[0-2])"
+MONTH_FORM = rf"^{MONTH_TEXT}\z"
 FIRST_MONTH, LAST_MONTH = "1677-10", "2262-04"
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftworks.functions.naming import col
 from siftworks.staging import Staged
 
 # A table may be broadcast whole up to both of these measured sizes.
@@ -31,7 +32,7 @@ def attach(
     staged: Staged,
     keys: Sequence[str],
     *,
-    weight: str = "n",
+    weight: str = "_sw_n",
     spread: Sequence[str] = (),
     active: Column | None = None,
     hot_keys: int | None = None,
@@ -41,7 +42,8 @@ def attach(
 
     ``lookup`` is a projection of the staged table, one row per key, whose
     ``weight`` column says how many active rows carry the key; a key missing
-    from it must be rare. Rows that are not ``active`` get nulls.
+    from it must be rare. Rows that are not ``active`` get nulls. No value column
+    may have the name of a column of ``rows``.
 
     A table of checked size is broadcast, so the rows are not shuffled at all.
     Beyond that size the keys holding more than 1/hot_keys of all rows, fewer
@@ -57,32 +59,32 @@ def attach(
         joined = _join(rows, F.broadcast(lookup), keys, values)
         if active is None:
             return joined
-        return joined.withColumns({v: F.when(may_match, F.col(v)) for v in values})
+        return joined.withColumns({v: F.when(may_match, col(v)) for v in values})
 
     limit = hot_keys or HOT_KEYS
-    total = lookup.agg(F.sum(weight)).first()[0] or 0
+    total = lookup.agg(F.sum(col(weight))).first()[0] or 0
     cut = total / limit
-    hot = lookup.where(F.col(weight) > cut)
-    cold = lookup.where(F.col(weight) <= cut)
+    hot = lookup.where(col(weight) > cut)
+    cold = lookup.where(col(weight) <= cut)
     renamed = {v: f"_hot_{v}" for v in values}
     served = _join(rows, F.broadcast(hot.withColumnsRenamed(renamed)), keys, list(renamed.values()))
-    hit = F.col(f"_hot_{weight}").isNotNull()
-    scatter = [F.col(c) for c in spread] or [F.col(c) for c in rows.columns]
+    hit = col(f"_hot_{weight}").isNotNull()
+    scatter = [col(c) for c in (spread or rows.columns)]
     served = served.withColumn(
         "_salt",
         F.when(hit | ~may_match, F.pmod(F.xxhash64(*scatter), F.lit(SPREAD)) + 1).otherwise(F.lit(0)),
     )
     joined = _join(served, cold.withColumn("_salt", F.lit(0).cast("bigint")), [*keys, "_salt"], values)
     return joined.select(
-        *rows.columns,
-        *[F.when(may_match, F.coalesce(F.col(f"_hot_{v}"), F.col(v))).alias(v) for v in values],
+        *[col(c) for c in rows.columns],
+        *[F.when(may_match, F.coalesce(col(f"_hot_{v}"), col(v))).alias(v) for v in values],
     )
 
 
 def _join(rows: DataFrame, lookup: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    right = lookup.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *values)
+    right = lookup.select(*[col(k).alias(f"_key_{k}") for k in keys], *[col(v) for v in values])
     match = None
     for key in keys:
-        equal = F.col(key).eqNullSafe(F.col(f"_key_{key}"))
+        equal = col(key).eqNullSafe(col(f"_key_{key}"))
         match = equal if match is None else match & equal
     return rows.join(right, match, "left").drop(*[f"_key_{k}" for k in keys])

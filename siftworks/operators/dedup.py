@@ -23,7 +23,7 @@ def duplicate_index(
     row_id: str,
     staging: Staging,
 ) -> Staged:
-    """Staged table of the repeated keys: ``key_hash``, ``n`` and ``winner``.
+    """Staged table of the repeated keys: ``key_hash``, ``_sw_n`` and ``_sw_winner``.
 
     ``order`` lists ascending sort expressions that make a total order; the
     first row wins. Copies are combined before the shuffle, so a key holding
@@ -36,13 +36,13 @@ def duplicate_index(
         rows.withColumn("_witness", witness)
         .groupBy(key_hash)
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(rank)["id"].alias("winner"),
-            (F.min("_witness") != F.max("_witness")).alias("collides"),
+            F.count(F.lit(1)).alias("_sw_n"),
+            F.min(rank)["id"].alias("_sw_winner"),
+            (F.min("_witness") != F.max("_witness")).alias("_sw_collides"),
         )
-        .where(F.col("n") > 1)
+        .where(F.col("_sw_n") > 1)
     )
-    staged = staging.write(index, "duplicates", collisions=F.count_if("collides"))
+    staged = staging.write(index, "duplicates", collisions=F.count_if("_sw_collides"))
     if staged.metrics["collisions"]:
         raise HashCollision("Different composite keys share a SHA-256 digest")
     return staged
@@ -59,13 +59,22 @@ def mark_duplicates(
 ) -> DataFrame:
     """Add ``_reference_source_record_id``: the winner's id on losing rows, else null."""
     marked = attach(
-        rows, index.frame.select(key_hash, "n", "winner"), index, [key_hash], spread=[row_id],
+        rows, index.frame.select(key_hash, "_sw_n", "_sw_winner"), index, [key_hash], spread=[row_id],
         active=active, **options,
     )
-    loses = F.col("winner") != F.col(row_id)
+    loses = F.col("_sw_winner") != F.col(row_id)
     return marked.withColumn(
-        "_reference_source_record_id", F.when(loses, F.col("winner"))
-    ).drop("n", "winner")
+        "_reference_source_record_id", F.when(loses, F.col("_sw_winner"))
+    ).drop("_sw_n", "_sw_winner")
+
+
+def refuse_collisions(rows: DataFrame, key_hash: str, key: Column) -> None:
+    """Stop if two different keys share ``key_hash``; one count per digest is shuffled."""
+    seen = rows.select(F.col(key_hash).alias("h"), F.xxhash64(key).alias("w")).groupBy("h").agg(
+        F.min("w").alias("low"), F.max("w").alias("high")
+    )
+    if not seen.where(F.col("low") != F.col("high")).isEmpty():
+        raise HashCollision("Different composite keys share a SHA-256 digest")
 
 
 def winners(

@@ -37,8 +37,13 @@ def peer_statistics(
         blank = [F.lit(None).cast("string").alias(f"k{i}") for i in range(len(named), width)]
         return F.struct(F.lit(level.label).alias("level"), *named, *blank)
 
-    logs = rows.where(F.col(measure) > 0).select(
-        F.log(F.col(measure)).alias("x"), F.explode(F.array(*map(entry, levels))).alias("g")
+    columns = sorted({c for level in levels for c in level.columns})
+    # Written once and narrow, since the quantiles read their values a few times.
+    narrow = staging.write(
+        rows.where(F.col(measure) > 0).select(F.log(F.col(measure)).alias("_sw_x"), *columns), "logs"
+    ).frame
+    logs = narrow.select(
+        F.col("_sw_x").alias("x"), F.explode(F.array(*map(entry, levels))).alias("g")
     ).select("g.*", "x")
     keys = ["level", *[f"k{i}" for i in range(width)]]
     return exact_quantiles(logs, keys, "x", [0.25, 0.75], staging, **options)

@@ -1,8 +1,9 @@
 """Exact group quantiles that never hold an unbounded group in one task.
 
-Group sizes are counted first. When every group is small, Spark's own exact
-``percentile`` does the work, its buffers bounded by the checked size.
-Otherwise the quantiles are found by counting: every pass is an aggregate with a
+Group sizes are counted first. When every group is small, its values are sorted
+in one buffer, bounded by the checked size. Otherwise the wanted ranks are found
+by counting. Both ways end in the same values at the same ranks and in the same
+interpolation, so a quantile never depends on the way taken. When counting, every pass is an aggregate with a
 map-side combine. The first one counts each group's values in buckets whose
 edges depend on the value alone and are about 1.6 % apart, so a group has a
 bounded number of buckets whatever its size. Counting up the buckets tells
@@ -50,7 +51,10 @@ def exact_quantiles(
     keys = list(keys)
     small = SMALL_GROUP_ROWS if small_group_rows is None else small_group_rows
     limit = bracket_rows or BRACKET_ROWS
-    rows = values.select(*keys, F.col(value).cast("double").alias(_X))
+    # Adding zero leaves one zero: -0.0 and 0.0 are one value to a grouping.
+    rows = values.where(F.col(value).isNotNull()).select(
+        *keys, (F.col(value).cast("double") + F.lit(0.0)).alias(_X)
+    )
     sizes = rows.groupBy(*keys).agg(F.count(_X).alias("n"))
     if (sizes.agg(F.max("n")).first()[0] or 0) <= small:
         return staging.write(_buffered(rows, keys, probabilities), "quantiles")
@@ -63,10 +67,22 @@ def exact_quantiles(
 
 
 def _buffered(rows: DataFrame, keys: list[str], probabilities: Sequence[float]) -> DataFrame:
-    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-    return rows.groupBy(*keys).agg(
-        F.count(_X).alias("n"), F.percentile(_X, wanted).alias("q")
+    groups = rows.groupBy(*keys).agg(
+        F.count(_X).alias("n"), F.sort_array(F.collect_list(_X)).alias("at")
     )
+    return groups.select(*keys, "n", _interpolated(probabilities, "int"))
+
+
+def _interpolated(probabilities: Sequence[float], rank: str) -> Column:
+    """The quantiles ``q`` of a group of ``n`` values, from ``at``: its values by rank."""
+    def quantile(probability: float) -> Column:
+        position = (F.col("n") - 1) * F.lit(float(probability))
+        low_rank = F.floor(position).cast(rank)
+        high_rank = F.least(low_rank + 1, (F.col("n") - 1).cast(rank))
+        low, high = F.col("at")[low_rank], F.col("at")[high_rank]
+        return low + (high - low) * (position - low_rank)
+
+    return F.array(*[quantile(p) for p in probabilities]).alias("q")
 
 
 def _log_bucket(x: Column) -> Column:
@@ -122,7 +138,7 @@ def _widest() -> Column:
 
 def _candidates(rows: DataFrame, keys: list[str], brackets: Staged) -> DataFrame:
     """The rows inside an open bracket, each with that bracket as ``b``."""
-    looked_up = attach(rows, brackets.frame, brackets, keys, spread=[_X])
+    looked_up = attach(rows, brackets.frame, brackets, keys, weight="n", spread=[_X])
     x = F.col(_X)
     inside = F.filter("brackets", lambda b: (b.lo < b.hi) & (x >= b.lo) & (x <= b.hi))
     return looked_up.withColumn("b", F.get(inside, 0)).where(F.col("b").isNotNull())
@@ -182,11 +198,4 @@ def _settle(
     )
     at_rank = F.map_from_entries(F.collect_list(F.struct("rank", "x")))
     groups = ranked.groupBy(*keys, "n").agg(at_rank.alias("at"))
-
-    def quantile(probability: float) -> Column:
-        position = (F.col("n") - 1) * F.lit(float(probability))
-        low_rank = F.floor(position).cast("bigint")
-        low, high = F.col("at")[low_rank], F.col("at")[F.least(low_rank + 1, F.col("n") - 1)]
-        return low + (high - low) * (position - low_rank)
-
-    return groups.select(*keys, "n", F.array(*[quantile(p) for p in probabilities]).alias("q"))
+    return groups.select(*keys, "n", _interpolated(probabilities, "bigint"))

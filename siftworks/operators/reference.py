@@ -48,23 +48,31 @@ class Reference:
             domain = self.frame.where(F.col("column") == column).select(
                 F.col("value").alias(column), F.lit(True).alias("_in_domain")
             )
-            counted = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+            counted = rows.groupBy(column).agg(F.count(F.lit(1)).alias("_sw_n"))
             lookup = self.staging.write(counted.join(domain, column, "left"), "values")
             rows = (
                 attach(rows, lookup.frame, lookup, [column], spread=["_source_record_id"])
                 .withColumn(flag(column), F.col("_in_domain").isNotNull())
-                .drop("n", "_in_domain")
+                .drop("_sw_n", "_in_domain")
             )
         return rows
 
-    def report(self, config: JobConfig) -> dict:
-        """The published description; domains too large for a document stay in the table."""
+    def report(self, config: JobConfig, table: str) -> dict:
+        """The published description; ``table`` is where every value of every domain lies.
+
+        A domain too large for a document is given by its size and that place.
+        """
         return {
             "reference_month": config.reference_month,
             "reference_rows": self.rows,
             "date_format": "YYYY-MM",
             "date_scope": [config.start_month, config.end_month],
-            "domains": {c: self.literals.get(c) for c in self.sizes},
+            "domain_sizes": self.sizes,
+            "domain_values": table,
+            "domains": {
+                c: self.literals.get(c, {"size": n, "values_in": table})
+                for c, n in self.sizes.items()
+            },
         }
 
 

@@ -166,3 +166,12 @@ def transform(cleaned: DataFrame, staging: Staging) -> DataFrame:
 def malformed_identifiers(transformed: DataFrame) -> DataFrame:
     good = F.col("Resale Identifier").rlike(BUSINESS_CODE_FORM)
     return transformed.where(~F.coalesce(good, F.lit(False)))
+
+
+def refuse_bad_codes(coded: DataFrame) -> None:
+    """Stop at a malformed business identifier or at a record digest that occurs twice."""
+    if not malformed_identifiers(coded).isEmpty():
+        raise RuntimeError("A business identifier does not have the prescribed format")
+    repeated = coded.groupBy("resale_record_hash").agg(F.count(F.lit(1)).alias("_sw_n"))
+    if not repeated.where(F.col("_sw_n") > 1).isEmpty():
+        raise RuntimeError("Record hashes are not unique; publication stopped")

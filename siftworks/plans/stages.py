@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from siftworks.config import JobConfig
 from siftworks.functions.identity import sha256
+from siftworks.operators.dedup import refuse_collisions
 from siftworks.operators.profile import column_profile
 from siftworks.operators.reference import Reference
 from siftworks.plans import decide as plan
@@ -53,11 +54,13 @@ def validate(
 
 
 def add_keys(accepted: DataFrame, source_columns: Sequence[str] | None = None) -> DataFrame:
-    """Add the canonical key text and its digest."""
+    """Add the canonical key text and its digest; stop if two keys share a digest."""
     key = sales.composite_key(accepted, source_columns)
-    return accepted.withColumn("_canonical_key", key).withColumn(
+    keyed = accepted.withColumn("_canonical_key", key).withColumn(
         "_key_hash", sha256(F.col("_canonical_key"))
     )
+    refuse_collisions(keyed, "_key_hash", F.col("_canonical_key"))
+    return keyed
 
 
 def deduplicate(accepted: DataFrame, staging: Staging) -> tuple[DataFrame, DataFrame]:
@@ -81,8 +84,12 @@ def detect_anomalies(
 
 
 def transform(cleaned: DataFrame, staging: Staging) -> tuple[DataFrame, DataFrame]:
-    """Rows with mean and identifier, and the same rows with both digests."""
-    coded = plan.transform(cleaned, staging)
+    """Rows with mean and identifier, and the same rows with both digests.
+
+    Stops at an identifier of another form and at a repeated record digest.
+    """
+    coded = staging.write(plan.transform(cleaned, staging), "coded").frame
+    plan.refuse_bad_codes(coded)
     digests = ["resale_identifier_hash", "resale_record_hash"]
     return coded.drop(*digests), coded.drop("group_average_resale_price", "Resale Identifier")
 

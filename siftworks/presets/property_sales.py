@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siftworks.config import JobConfig
 from siftworks.functions import identity, numbers, periods, terms, text
+from siftworks.functions.naming import col
 from siftworks.operators.fences import PeerLevel
 from siftworks.operators.reference import Reference, band_bounds
 from siftworks.operators.rules import Rule, failed_reasons
@@ -44,6 +45,7 @@ MEAN_KEYS = ("month", "town", "flat_type")
 DUPLICATE_REASON = "duplicate_non_maximum_or_tied_price"
 ANOMALY_REASON = "potential_price_anomaly"
 
+# Derived columns, price evidence and decision of the published rows.
 DERIVED = (
     "transaction_year", "transaction_month", "remaining_lease_total_months",
     "remaining_lease_years", "remaining_lease_months", "remaining_lease_years_months",
@@ -70,14 +72,14 @@ def clean_text(
     """Keep the originals in ``_raw`` and replace every source column by tidy text."""
     tidy = [
         (
-            text.normalize_text(F.col(c), c in ascii_columns)
+            text.normalize_text(col(c), c in ascii_columns)
             if c in NORMALIZED
-            else text.blank_to_null(F.col(c))
+            else text.blank_to_null(col(c))
         ).alias(c)
         for c in columns
     ]
     recorded = F.col("month").alias("_recorded_month")
-    return master.select(*LINEAGE, F.struct(*columns).alias("_raw"), recorded, *tidy)
+    return master.select(*LINEAGE, F.struct(*[col(c) for c in columns]).alias("_raw"), recorded, *tidy)
 
 
 def _parsed(rows: DataFrame, config: JobConfig) -> DataFrame:
@@ -168,7 +170,7 @@ def assess(
         *LINEAGE,
         "_raw",
         "_recorded_month",
-        *[typed[c].alias(c) if c in typed else kept(F.col(c)).alias(c) for c in columns],
+        *[typed[c].alias(c) if c in typed else kept(col(c)).alias(c) for c in columns],
         kept(F.col("_price_cents")).alias("_price_cents"),
         kept(F.col("_year")).alias("transaction_year"),
         kept(F.col("_month")).alias("transaction_month"),
@@ -206,7 +208,7 @@ def composite_key(rows: DataFrame, columns: Sequence[str] | None = None) -> Colu
     """Canonical JSON of every source column except the price."""
     doubles = {f.name for f in rows.schema.fields if f.dataType.simpleString() == "double"}
     return identity.canonical_key({
-        c: numbers.canonical_number(F.col(c)) if c in doubles else F.col(c)
+        c: numbers.canonical_number(col(c)) if c in doubles else col(c)
         for c in key_columns(columns or source_columns_of(rows))
     })
 

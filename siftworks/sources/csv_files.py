@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from siftworks.config import JobConfig
 from siftworks.functions.identity import record_id
+from siftworks.functions.naming import col
 from siftworks.functions.periods import is_month
 from siftworks.functions.text import strip
 from siftworks.operators.attach import attach
@@ -29,8 +30,7 @@ from siftworks.presets import property_sales as sales
 from siftworks.sources import files
 from siftworks.staging import Staged, Staging
 
-# Fixed value: how the inventory describes where files come from.
-SOURCE_NOTE = "user-supplied CSV; no network download"
+SOURCE_NOTE = "csv_snapshot"
 _CHUNK = 8 * 1024 * 1024
 _FILE_SCHEMA = "file string, uri string, bytes bigint"
 _INSPECTED = "file string, uri string, bytes bigint, sha256 string, quotes bigint, header array<string>"
@@ -98,7 +98,8 @@ def inspect_files(spark: SparkSession, folder: str, recursive: bool = False) ->
     if not listed:
         raise FileNotFoundError(f"Found no CSV file in {folder}")
     tasks = min(len(listed), max(spark.sparkContext.defaultParallelism * 4, 1))
-    table = spark.createDataFrame(listed, _FILE_SCHEMA).repartition(tasks, "file")
+    # Dealt out in turn from one list: hashing could put several large files in one task.
+    table = spark.createDataFrame(listed, _FILE_SCHEMA).coalesce(1).repartition(tasks)
     rows = table.mapInPandas(_inspect, _INSPECTED).collect()
     inspected = [
         SourceFile(r.file, r.uri, r.bytes, r.sha256, r.quotes, tuple(r.header)) for r in rows
@@ -120,6 +121,15 @@ def check_header(source: SourceFile, required: Sequence[str], reserved: Sequence
         raise ValueError(f"Columns of {source.file} collide with derived fields: {taken}")
 
 
+def refuse_case_twins(columns: Sequence[str], reserved: Sequence[str]) -> None:
+    """Refuse names that differ in case only, from each other or from a derived field."""
+    seen = {c.lower(): c for c in reserved}
+    for column in columns:
+        twin = seen.setdefault(column.lower(), column)
+        if twin != column:
+            raise ValueError(f"Column names differ in case only: {sorted([twin, column])}")
+
+
 def _literal_path(uri: str) -> str:
     """A path the reader will not take for a pattern."""
     return "".join(f"\\{c}" if c in "\\{}[]*?" else c for c in uri)
@@ -162,7 +172,7 @@ def _read(spark: SparkSession, group: Sequence[SourceFile], multi_line: bool) ->
     )
     return rows.select(
         # A short row or an unquoted empty field is an empty text, not a missing one.
-        *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in header],
+        *[F.coalesce(col(c), F.lit("")).alias(c) for c in header],
         "_overflow",
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -205,6 +215,7 @@ def scan_csv(
         # number of executors changes in between.
         spark.conf.set(_MIN_SPLITS, str(spark.sparkContext.defaultParallelism))
     columns = sorted({c for s in sources for c in s.header})
+    refuse_case_twins(columns, reserved)
     spanning = _spans_lines(spark, sources)
     grouped: dict[tuple, list[SourceFile]] = {}
     for source in sources:
@@ -287,8 +298,8 @@ def _offsets(blocks: Staged, known: DataFrame) -> DataFrame:
     )
     before = F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("bigint"))
     placed = blocks.frame.select(
-        _path_key(F.col("_path")).alias("_key"),
-        "_path", "_block", "n", "first_position", before.alias("before"),
+        _path_key(F.col("_path")).alias("_key"), "_path", "_block", F.col("n").alias("_sw_n"),
+        F.col("first_position").alias("_sw_first"), before.alias("_sw_before"),
     )
     return placed.join(known.select("_key", "_source_file", "_source_sha256"), "_key").drop("_key")
 
@@ -299,13 +310,13 @@ def _rows(
     month = strip(F.col(period))
     wanted = part.where(~is_month(month) | _in_scope(month, config))
     placed = attach(wanted, offsets.frame, offsets, ["_path", "_block"], spread=["_position"])
-    number = F.col("before") + F.col("_position") - F.col("first_position") + 1
+    number = F.col("_sw_before") + F.col("_position") - F.col("_sw_first") + 1
     row = F.coalesce(number, F.raise_error(F.lit("input changed while it was read")).cast("bigint"))
     numbered = placed.withColumn("_source_row", row)
     present = set(part.columns)
     return numbered.select(
         *[
-            F.col(f"`{c}`") if c in present else F.lit(None).cast("string").alias(c)
+            col(c) if c in present else F.lit(None).cast("string").alias(c)
             for c in columns
         ],
         "_source_row",

@@ -14,9 +14,9 @@ from siftworks.session import build_session  # noqa: E402
 from siftworks.staging import Staging  # noqa: E402
 
 BASE = {
-    "month": "2012-01", "town": "ANG MO KIO", "flat_type": "3 ROOM", "block": "19",
-    "street_name": "ANG MO KIO AVE 1", "storey_range": "01 TO 03", "floor_area_sqm": "60",
-    "flat_model": "IMPROVED", "lease_commence_date": "1980", "resale_price": "230000",
+    "month": "2012-01", "town": "ALDER GROVE", "flat_type": "4 ROOM", "block": "27",
+    "street_name": "ALDER WALK", "storey_range": "04 TO 06", "floor_area_sqm": "84",
+    "flat_model": "STANDARD", "lease_commence_date": "1991", "resale_price": "312500",
 }
 CONFIG = JobConfig()
 
