@@ -277,7 +277,7 @@ class Join:
         """(node, label) of all nodes with a link."""
         lists = self.lists()
         with Scratch(self.spark) as scratch:
-            links = label = None
+            label = None
             for pivots in (*PIVOTS, None):
                 first = scratch(self._pivots(lists, pivots), "pivots")
                 pairs = lists.join(first, "token").where(4 * F.least("n", "pn") >= 3 * F.greatest("n", "pn"))
@@ -286,8 +286,10 @@ class Join:
                     pairs = pairs.where("label <> pl")
                 found = self.verify(
                     pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")))
-                links = found if links is None else links.union(found)
-                label = components(links)
+                if label is not None:
+                    # Earlier links count as the stars they were contracted to.
+                    found = found.union(label.where("node <> label").select("label", "node"))
+                label = components(found)
                 if pivots is None:
                     break
                 # Pivots are done; what is left matters where components still differ.
