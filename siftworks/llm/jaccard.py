@@ -10,6 +10,10 @@ at least ceil(3 (n + m) / 7).
   order of all shingles, the first floor(n / 4) + 1 of a set. Two sets that link share
   a shingle of both prefixes. Frequent shingles come last in that order, so that lists
   stay short; which ones are frequent changes the cost only, never the result.
+* An entry's reach is the number of its set's shingles from the listed one on. At the
+  first shingle two sets share in that order, the overlap is at most the smaller reach,
+  so a list compares only sets whose reaches allow a link; others that link meet in an
+  earlier list. A subset's entry reaches the whole set.
 * The boundary is the largest size whose subsets cost no more than the list entries its
   prefix would meet, from the measured mean length of lists.
 
@@ -34,7 +38,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftworks.llm.chains import mixed
@@ -110,7 +114,7 @@ def _texts(documents: DataFrame) -> DataFrame:
 
 
 def entries(documents: DataFrame, frequent: np.ndarray, boundary: int) -> DataFrame:
-    """(token, node, n): subsets of light sets and prefix shingles of the others."""
+    """(token, doc_id, n, reach): subsets of light sets and prefix shingles of the others."""
     ranks = np.argsort(frequent, kind="stable")
     ordered = frequent[ranks]
     maybe = np.zeros(1 << 22, bool)  # low bits of frequent shingles: few others need the search
@@ -118,11 +122,12 @@ def entries(documents: DataFrame, frequent: np.ndarray, boundary: int) -> DataFr
     picks = {(n, o): np.array(list(combinations(range(n), o)), np.int64)
              for n in range(1, boundary + 1) for o in subset_sizes(n, boundary)}
 
-    def tokens(found: np.ndarray) -> np.ndarray:
-        n, out = len(found), []
+    def tokens(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n, out, reach = len(found), [], []
         if n <= boundary:
             for o in subset_sizes(n, boundary):
                 out.append(mixed(mixed(found[picks[n, o]]).sum(axis=1, dtype=np.uint64) + np.uint64(o)))
+                reach.append(np.full(len(out[-1]), n, np.int32))
         if n > boundary or 4 * n >= 3 * (boundary + 1):
             length = n // 4 + 1
             often = maybe[(found & np.uint64((1 << 22) - 1)).astype(np.int64)]
@@ -134,7 +139,11 @@ def entries(documents: DataFrame, frequent: np.ndarray, boundary: int) -> DataFr
                 rest = found[often][np.argsort(ranks[np.searchsorted(ordered, found[often])], kind="stable")]
                 rare = np.concatenate([rare, rest[:length - len(rare)]])
             out.append(rare)
-        return np.unique(np.concatenate(out)) if out else found[:0]
+            reach.append(n - np.arange(len(rare), dtype=np.int32))
+        if not out:
+            return found[:0], np.zeros(0, np.int32)
+        every, first = np.unique(np.concatenate(out), return_index=True)
+        return every, np.concatenate(reach)[first]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = WordNumbers()
@@ -144,7 +153,7 @@ def entries(documents: DataFrame, frequent: np.ndarray, boundary: int) -> DataFr
                 found = shingle_set(numbers((text or b"").lower().split()), SIZE)
                 if doc is None or not len(found):
                     continue
-                held.append((doc, len(found), tokens(found)))
+                held.append((doc, len(found), *tokens(found)))
                 count += len(held[-1][2])
                 if count > 500_000:
                     yield _entry_batch(held)
@@ -152,15 +161,16 @@ def entries(documents: DataFrame, frequent: np.ndarray, boundary: int) -> DataFr
             if held:
                 yield _entry_batch(held)
 
-    return _texts(documents).mapInArrow(run, "token long, doc_id long, n int")
+    return _texts(documents).mapInArrow(run, "token long, doc_id long, n int, reach int")
 
 
 def _entry_batch(held: list[tuple]) -> pa.RecordBatch:
-    sizes = [len(t) for _, _, t in held]
+    sizes = [len(h[2]) for h in held]
     repeat = lambda i, kind: pa.array(np.repeat(np.array([h[i] for h in held], kind), sizes))
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([t for _, _, t in held]).view(np.int64)), repeat(0, np.int64), repeat(1, np.int32)],
-        names=["token", "doc_id", "n"])
+        [pa.array(np.concatenate([h[2] for h in held]).view(np.int64)), repeat(0, np.int64), repeat(1, np.int32),
+         pa.array(np.concatenate([h[3] for h in held]))],
+        names=["token", "doc_id", "n", "reach"])
 
 
 def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,6 +197,11 @@ def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def _may_link(n: str, reach: str, m: str, other: str) -> Column:
+    """Whether sets of n and m that share at most the smaller reach can link: 7 o >= 3 (n + m)."""
+    return 7 * F.least(reach, other).cast("long") >= 3 * (F.col(n).cast("long") + F.col(m))
+
+
 def _links(shared: int, n: int, m: int) -> bool:
     return 100 * shared >= 75 * (n + m - shared)
 
@@ -240,7 +255,7 @@ class Join:
             .select("node", "profile"), "profiles")
 
     def lists(self) -> DataFrame:
-        """(token, node, n) of tokens that several classes have."""
+        """(token, node, n, reach) of tokens that several classes have."""
         with Scratch(self.spark) as scratch:
             every = scratch(entries(self.documents, self.frequent, self.boundary), "entries")
             several = every.groupBy("token").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
@@ -248,16 +263,25 @@ class Join:
             several = scratch(several.select("token"), "several")
             shared = scratch(every.join(several, "token"), "shared")
             nodes = scratch(self.rows.join(self.classes, "key").select("doc_id", "node").distinct(), "nodes")
-            own = shared.join(nodes, "doc_id").groupBy("token", "node").agg(F.max("n").alias("n"))
+            own = shared.join(nodes, "doc_id").groupBy("token", "node").agg(
+                F.max("n").alias("n"), F.max("reach").alias("reach"))
             return self._distinct_lists(scratch(own, "lists"))
 
     def _distinct_lists(self, lists: DataFrame) -> DataFrame:
-        """One of the lists that have the same members (128 bits of sums), of two or more."""
+        """One of the lists that have the same members (128 bits of sums), of two or more.
+
+        It is the first in the order of shingles, where all members reach furthest. Entries
+        that don't reach far enough for the smallest set of their list go.
+        """
         member = lambda seed: F.sum(F.xxhash64(F.lit(seed), "node", "n").cast("decimal(20,0)"))
-        marks = lists.groupBy("token").agg(F.count(F.lit(1)).alias("members"), member(1).alias("s"), member(2).alias("t"))
-        kept = marks.where("members > 1").groupBy("members", "s", "t").agg(F.min("token").alias("token"))
+        marks = lists.groupBy("token").agg(
+            F.count(F.lit(1)).alias("members"), member(1).alias("s"), member(2).alias("t"),
+            F.sum("reach").alias("reach"), F.min("n").alias("least"))
+        kept = marks.where("members > 1").groupBy("members", "s", "t").agg(
+            F.max(F.struct("reach", "token", "least")).alias("first"))
         with Scratch(self.spark) as scratch:
-            return staged(lists.join(scratch(kept.select("token"), "kept"), "token"), "lists")
+            kept = scratch(kept.select("first.token", "first.least"), "kept")
+            return staged(lists.join(kept, "token").where("7L * reach >= 3L * (n + least)").drop("least"), "lists")
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link: first by their profiles' bound, then by their sets."""
@@ -280,7 +304,7 @@ class Join:
             label = None
             for pivots in (*PIVOTS, None):
                 first = scratch(self._pivots(lists, pivots), "pivots")
-                pairs = lists.join(first, "token").where(4 * F.least("n", "pn") >= 3 * F.greatest("n", "pn"))
+                pairs = lists.join(first, "token").where(_may_link("n", "reach", "pn", "pr"))
                 pairs = pairs.where("p <> node" if pivots else "p < node")
                 if label is not None:
                     pairs = pairs.where("label <> pl")
@@ -305,13 +329,13 @@ class Join:
 
     @staticmethod
     def _pivots(lists: DataFrame, pivots: int | None) -> DataFrame:
-        """token, p, pn (and pl): the members of each list with the lowest hashes, or all."""
+        """token, p, pn, pr (and pl): the members of each list with the lowest hashes, or all."""
         if pivots is not None:
             # The rank limit is applied before the shuffle too.
             order = Window.partitionBy("token").orderBy(F.xxhash64(F.lit(str(pivots)), "node"), "node")
             lists = lists.withColumn("r", F.row_number().over(order)).where(F.col("r") <= pivots)
         label = [F.col("label").alias("pl")] if "label" in lists.columns else []
-        return lists.select("token", F.col("node").alias("p"), F.col("n").alias("pn"), *label)
+        return lists.select("token", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("reach").alias("pr"), *label)
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id of every row."""
