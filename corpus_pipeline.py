@@ -4,8 +4,8 @@ Every stage works on all rows its predecessor kept. The first four return the co
 of their input; the last returns the packed pieces.
 
 * ``language_id`` drops texts in no language (null, or without a letter).
-* ``line_dedup`` cuts runs of lines that stand earlier too, and drops documents of
-  which no word is left. ``n_chars``, where there is one, follows the cut text.
+* ``line_dedup`` cuts runs of two or more lines that stand earlier too, and single lines
+  of ``LONG_LINE`` or more words that do, and drops documents of which no word is left. ``n_chars``, where there is one, follows the cut text.
 * ``ngram_jaccard`` keeps the document with the smallest id of each near-duplicate
   group, and one row of an id; rows without an id stay.
 * ``mixing`` repeats or leaves out documents to the target weights of their sources.
@@ -23,12 +23,16 @@ from siftworks.llm import jaccard, language, lines, mixing, packing
 from siftworks.llm.common import staged
 
 
+#: Words from which a line that stands earlier too is cut without its neighbours.
+LONG_LINE = 50
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.keep_known(docs, language.fit(docs, F.col("doc_id")))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = lines.dedup_lines(docs)
+    cut = lines.dedup_lines(docs, long_line=LONG_LINE)
     emptied = (F.col("_sw_removed") > 0) & (mixing.word_count(F.col("text")) == 0)
     cut = cut.where(~emptied)
     if "n_chars" in docs.columns:

@@ -141,6 +141,33 @@ def test_line_dedup(docs, rows):
             assert (r["_sw_removed"], r.text) == want[r.doc_id is None, r.doc_id or 0, r.old]
 
 
+def test_long_lines_are_windows_of_their_own(spark, docs):
+    passage, short = sentence(21, 50), sentence(22, 49)
+    texts = [
+        (1, f"a1\n{passage}\na2"), (2, f"b1\n{passage}\nb2"), (3, passage), (4, f"{short}\nc1"), (5, f"d1\n{short}"), (6, short),
+        (7, f"e1\n{passage}\n{passage}\ne2"), (8, f"pair 1\npair 2\n{passage}"), (9, f"pair 1\npair 2\n{passage}\nf1"),
+        (10, f"own {passage}"), (None, f"g1\n{passage}"), (None, None), (11, ""), (12, f"h1\n{passage} "), (2, f"b1\n{passage}\nb2"),
+    ]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").withColumn("old", F.col("text"))
+    seen, want = set(), {}
+    for doc, text in sorted({t for t in texts if t[1] is not None}, key=lambda t: (t[0] is None, t[0] or 0, t[1])):
+        parts, gone = text.split("\n"), set()
+        for size in (1, 2):
+            for i in range(len(parts) - size + 1):
+                key = tuple(parts[i:i + size])
+                if size == 2 or len(key[0].split()) >= 50:
+                    gone |= set(range(i, i + size)) if key in seen else set()
+                    seen.add(key)
+        want[doc, text] = (len(gone), "\n".join(p for i, p in enumerate(parts) if i not in gone))
+    found = lines.dedup_lines(frame, long_line=50).collect()
+    assert len(found) == len(texts)
+    assert all((r["_sw_removed"], r.text) == want.get((r.doc_id, r.old), (0, None)) for r in found)
+    assert want[2, texts[1][1]] == (1, "b1\nb2") and want[3, passage] == (1, "") and want[6, short] == (0, short)
+    # The pipeline cuts them too.
+    cut = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, frame.select("doc_id", "text"), "").collect()}
+    assert cut[2] == "b1\nb2" and 3 not in cut and cut[6] == short and cut[9] == "f1"
+
+
 def test_substrings(docs, rows):
     found = debruijn.dedup(docs).collect()
     first: dict = {}
