@@ -5,8 +5,8 @@ k - 1 words. Only edges that start in several documents matter. To find them wit
 moving every window, each window first names its anchor: the smallest hash among its
 runs of ``ANCHOR`` words, which equal windows share. Consecutive windows mostly share
 anchors too, so there are about a fifth as many; windows whose anchor stands in one
-document only are done. Exact copies are set aside first: all their windows start in
-the smallest of them. The other windows are edges, keyed by 96 bits of hash.
+document only are done. Rows that are exact copies are set aside first: all their windows
+start in the smallest of them; other texts of their ids stay. The other windows are edges, keyed by 96 bits of hash.
 
 Of every repeated edge the first source place (smallest document, then word) is kept, and
 joined to its other occurrences; each place meets one source, never all other places.
@@ -54,15 +54,15 @@ def window_anchors(numbers: np.ndarray, k: int) -> np.ndarray:
 
 
 def anchors(documents: DataFrame, k: int) -> DataFrame:
-    """(anchor, doc_id): the distinct anchors of every document."""
+    """(anchor, doc_id, text_key): the distinct anchors of every text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = WordNumbers()
-        held: list[tuple[int, np.ndarray]] = []
+        held: list[tuple[int, int, np.ndarray]] = []
         count = 0
-        for doc, text in rows_of(batches):
+        for doc, key, text in rows_of(batches):
             found = np.unique(window_anchors(numbers(text.split()), k))
-            held.append((doc, found))
+            held.append((doc, key, found))
             count += len(found)
             if count > 500_000:
                 yield _anchor_batch(held)
@@ -71,13 +71,16 @@ def anchors(documents: DataFrame, k: int) -> DataFrame:
             yield _anchor_batch(held)
 
     rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    return rows.select("doc_id", raw_text()).mapInArrow(run, "anchor long, doc_id long")
+    return rows.select("doc_id", text_key(), raw_text()).mapInArrow(run, "anchor long, doc_id long, text_key int")
 
 
-def _anchor_batch(held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-    docs = np.repeat(np.array([d for d, _ in held], np.int64), [len(f) for _, f in held])
+def _anchor_batch(held: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+    sizes = [len(f) for *_, f in held]
+    docs = np.repeat(np.array([d for d, *_ in held], np.int64), sizes)
+    keys = np.repeat(np.array([key for _, key, _ in held], np.int32), sizes)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([f for _, f in held]).view(np.int64)), pa.array(docs)], names=["anchor", "doc_id"])
+        [pa.array(np.concatenate([f for *_, f in held]).view(np.int64)), pa.array(docs), pa.array(keys)],
+        names=["anchor", "doc_id", "text_key"])
 
 
 def exact_copies(documents: DataFrame) -> DataFrame:
@@ -99,17 +102,17 @@ def text_key() -> Column:
 
 
 def shared_anchors(documents: DataFrame, copies: DataFrame, k: int) -> DataFrame:
-    """(anchor, doc_id) of anchors in several documents that aren't exact copies."""
+    """(doc_id, text_key, anchors): of texts that aren't exact copies, the anchors several documents have."""
     with Scratch(documents.sparkSession) as scratch:
         rows = scratch(anchors(documents, k), "anchors")
-        for without in (None, copies.select("doc_id").distinct()):
+        for without in (None, copies.select("doc_id", "text_key").distinct()):
             if without is not None:
-                rows = scratch(rows.join(without, "doc_id", "left_anti"), "originals")
+                rows = scratch(rows.join(without, ["doc_id", "text_key"], "left_anti"), "originals")
             several = rows.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
             # Written first: the join then reads two plain shuffles, of which hot parts can be split.
             several = scratch(several.where("a < b").select("anchor"), "several")
             rows = scratch(rows.join(several, "anchor"), "shared")
-        return staged(rows.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors")), "of_doc")
+        return staged(rows.groupBy("doc_id", "text_key").agg(F.collect_list("anchor").alias("anchors")), "of_doc")
 
 
 def edges(documents: DataFrame, copies: DataFrame, k: int) -> DataFrame:
@@ -138,7 +141,8 @@ def edges(documents: DataFrame, copies: DataFrame, k: int) -> DataFrame:
         if held:
             yield _edge_batch(held)
 
-    return texts.join(of_doc, "doc_id").mapInArrow(run, "e1 long, e2 int, doc_id long, text_key int, start int")
+    return texts.join(of_doc, ["doc_id", "text_key"]).select(
+        "doc_id", "text_key", "text", "anchors").mapInArrow(run, "e1 long, e2 int, doc_id long, text_key int, start int")
 
 
 def _edge_batch(held: list[list[np.ndarray]]) -> pa.RecordBatch:

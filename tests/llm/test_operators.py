@@ -168,6 +168,14 @@ def test_long_lines_are_windows_of_their_own(spark, docs):
     assert cut[2] == "b1\nb2" and 3 not in cut and cut[6] == short and cut[9] == "f1"
 
 
+def test_substrings_of_ids_with_a_copied_and_another_text(spark):
+    copied, other, early = sentence(31, 40), sentence(32, 60).split(), sentence(33, 40).split()
+    # Id 3 has a copy of id 1's text and one of its own, which repeats id 2 and is repeated by id 4.
+    rows = [(1, copied), (2, " ".join(early)), (3, copied), (3, " ".join([*early[:20], *other])),
+            (4, " ".join(["x", *other[10:40], "y"])), (5, copied), (5, "a short one"), (None, copied)]
+    test_substrings(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+
+
 def test_substrings(docs, rows):
     found = debruijn.dedup(docs).collect()
     first: dict = {}
