@@ -17,7 +17,9 @@ at least ceil(3 (n + m) / 7).
 * The boundary is the largest size whose subsets cost no more than the list entries its
   prefix would meet, from the measured mean length of lists.
 
-Sets that are equal are one class. Lists are not expanded into pairs: in each, all members
+Sets that are equal are one class, named by 64 bits of hash (its node), and entries are those
+of one class: n and reach are of one set, also where an id has several texts. The classes of
+one id are united by links of their own. Lists are not expanded into pairs: in each, all members
 are compared with a pivot, links are contracted to components, and only members whose
 components still differ are compared with further pivots (1, 4, 16, 64), after which
 the rest, if any, is compared pair by pair. Pairs within a component are left out as
@@ -84,16 +86,22 @@ def profile(found: np.ndarray) -> bytes:
     return np.bincount(cells, minlength=1 << CELL_BITS).astype("<u4").tobytes()
 
 
+def node_of(found: np.ndarray) -> int:
+    """The class of a set."""
+    return int.from_bytes(xxhash.xxh3_128_digest(found.tobytes())[:8], "little", signed=True)
+
+
 def _measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each document (size, key of its set), and shingles several of a batch share."""
+    """A row for each document (size, class of its set), and shingles several of a batch share."""
     numbers = WordNumbers()
     for some in batches:
-        docs, sizes, keys, sets, profiles = [], [], [], [], []
-        for doc, text in rows_of([some]):
+        docs, texts, sizes, nodes, sets, profiles = [], [], [], [], [], []
+        for doc, text_hash, text in rows_of([some]):
             found = shingle_set(numbers((text or b"").lower().split()), SIZE)
             docs.append(doc)
+            texts.append(text_hash)
             sizes.append(len(found))
-            keys.append(xxhash.xxh3_128_digest(found.tobytes()))
+            nodes.append(node_of(found))
             sets.append(found)
             profiles.append(profile(found))
         shared, counts = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
@@ -101,8 +109,9 @@ def _measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = [None] * len(docs)
         yield pa.RecordBatch.from_pydict({
             "doc_id": pa.array([*docs, *[None] * len(shared)], pa.int64()),
+            "text_hash": pa.array([*texts, *[None] * len(shared)], pa.int64()),
             "n": pa.array([*sizes, *[None] * len(shared)], pa.int64()),
-            "key": pa.array([*keys, *[None] * len(shared)], pa.binary()),
+            "node": pa.array([*nodes, *[None] * len(shared)], pa.int64()),
             "profile": pa.array([*profiles, *[None] * len(shared)], pa.binary()),
             "shingle": pa.array([*none, *shared.view(np.int64).tolist()], pa.int64()),
             "docs": pa.array([*none, *counts.tolist()], pa.int64()),
@@ -110,11 +119,12 @@ def _measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts(documents: DataFrame) -> DataFrame:
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), raw_text().alias("text"))
+    return documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), raw_text().alias("text"))
 
 
-def entries(documents: DataFrame, frequent: np.ndarray, boundary: int) -> DataFrame:
-    """(token, doc_id, n, reach): subsets of light sets and prefix shingles of the others."""
+def entries(texts: DataFrame, frequent: np.ndarray, boundary: int) -> DataFrame:
+    """(token, node, n, reach): subsets of light sets and prefix shingles of the others."""
     ranks = np.argsort(frequent, kind="stable")
     ordered = frequent[ranks]
     maybe = np.zeros(1 << 22, bool)  # low bits of frequent shingles: few others need the search
@@ -149,11 +159,11 @@ def entries(documents: DataFrame, frequent: np.ndarray, boundary: int) -> DataFr
         numbers = WordNumbers()
         for some in batches:
             held, count = [], 0
-            for doc, text in rows_of([some]):
+            for text, in rows_of([some]):
                 found = shingle_set(numbers((text or b"").lower().split()), SIZE)
-                if doc is None or not len(found):
+                if not len(found):
                     continue
-                held.append((doc, len(found), *tokens(found)))
+                held.append((node_of(found), len(found), *tokens(found)))
                 count += len(held[-1][2])
                 if count > 500_000:
                     yield _entry_batch(held)
@@ -161,7 +171,7 @@ def entries(documents: DataFrame, frequent: np.ndarray, boundary: int) -> DataFr
             if held:
                 yield _entry_batch(held)
 
-    return _texts(documents).mapInArrow(run, "token long, doc_id long, n int, reach int")
+    return texts.select("text").mapInArrow(run, "token long, node long, n int, reach int")
 
 
 def _entry_batch(held: list[tuple]) -> pa.RecordBatch:
@@ -170,27 +180,27 @@ def _entry_batch(held: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate([h[2] for h in held]).view(np.int64)), repeat(0, np.int64), repeat(1, np.int32),
          pa.array(np.concatenate([h[3] for h in held]))],
-        names=["token", "doc_id", "n", "reach"])
+        names=["token", "node", "n", "reach"])
 
 
 def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     numbers = WordNumbers()
     for some in batches:
-        docs, sets, held = [], [], 0
-        for doc, text in rows_of([some]):
-            docs.append(doc)
+        nodes, sets, held = [], [], 0
+        for node, text in rows_of([some]):
+            nodes.append(node)
             sets.append(shingle_set(numbers((text or b"").lower().split()), SIZE).tobytes())
             held += len(sets[-1])
             if held > 8 << 20:
-                yield _set_batch(docs, sets)
-                docs, sets, held = [], [], 0
-        if docs:
-            yield _set_batch(docs, sets)
+                yield _set_batch(nodes, sets)
+                nodes, sets, held = [], [], 0
+        if nodes:
+            yield _set_batch(nodes, sets)
 
 
-def _set_batch(docs: list[int], sets: list[bytes]) -> pa.RecordBatch:
+def _set_batch(nodes: list[int], sets: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(docs, pa.int64()), pa.array(sets, pa.binary())], names=["doc_id", "found"])
+        [pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "found"])
 
 
 def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
@@ -232,14 +242,19 @@ def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Join:
-    """The classes of a table of documents, their lists, and the links found so far."""
+    """The classes of a table of documents, their lists, and the links found so far.
 
-    def __init__(self, documents: DataFrame) -> None:
+    ``unnamed``: rows with a null id take part in links too.
+    """
+
+    def __init__(self, documents: DataFrame, unnamed: bool = False) -> None:
         self.documents, self.spark = documents, documents.sparkSession
+        self.part = F.lit(True) if unnamed else F.col("doc_id").isNotNull()
         measured = staged(_texts(documents).mapInArrow(
-            _measure, "doc_id long, n long, key binary, profile binary, shingle long, docs long"), "measured")
-        self.rows = measured.where("n IS NOT NULL").select("doc_id", "n", "key")
-        profiles = measured.where("n > 0").select("key", "profile")
+            _measure, "doc_id long, text_hash long, n long, node long, profile binary, shingle long, docs long"), "measured")
+        self.rows = measured.where("n IS NOT NULL").select("doc_id", "text_hash", "n", "node")
+        self.linked = self.rows.where((F.col("n") > 0) & self.part)
+        profiles = measured.where((F.col("n") > 0) & self.part).select("node", "profile")
         shared = measured.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("docs").alias("docs"))
         # A bounded list in falling frequency; the order of the rest is by hash.
         top = shared.orderBy(F.desc("docs"), "shingle").limit(FREQUENT).collect()
@@ -247,24 +262,21 @@ class Join:
         mean = sum(r["docs"] ** 2 for r in top) / max(total, 1)
         self.boundary = choose_boundary(mean)
         self.frequent = np.array([r["shingle"] for r in top][::-1], np.int64).view(np.uint64)
-        self.classes = staged(
-            self.rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("node")), "classes")
-        # Rows with one key have one profile; those of classes without an id are not needed.
-        self.profiles = staged(
-            profiles.groupBy("key").agg(F.first("profile").alias("profile")).join(self.classes, "key")
-            .select("node", "profile"), "profiles")
+        # The first place stands for the class where its set is read again.
+        place = F.struct(F.coalesce("doc_id", "text_hash").alias("at"), "text_hash")
+        self.classes = staged(self.linked.groupBy("node").agg(F.min(place).alias("first"))
+                              .select("node", "first.at", "first.text_hash"), "classes")
+        self.profiles = staged(profiles.groupBy("node").agg(F.first("profile").alias("profile")), "profiles")
 
     def lists(self) -> DataFrame:
         """(token, node, n, reach) of tokens that several classes have."""
         with Scratch(self.spark) as scratch:
-            every = scratch(entries(self.documents, self.frequent, self.boundary), "entries")
-            several = every.groupBy("token").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
+            every = scratch(entries(_texts(self.documents.where(self.part)), self.frequent, self.boundary), "entries")
+            several = every.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")
             # Written first: the join then reads two plain shuffles, of which hot parts can be split.
             several = scratch(several.select("token"), "several")
             shared = scratch(every.join(several, "token"), "shared")
-            nodes = scratch(self.rows.join(self.classes, "key").select("doc_id", "node").distinct(), "nodes")
-            own = shared.join(nodes, "doc_id").groupBy("token", "node").agg(
-                F.max("n").alias("n"), F.max("reach").alias("reach"))
+            own = shared.groupBy("token", "node").agg(F.max("n").alias("n"), F.max("reach").alias("reach"))
             return self._distinct_lists(scratch(own, "lists"))
 
     def _distinct_lists(self, lists: DataFrame) -> DataFrame:
@@ -292,13 +304,24 @@ class Join:
         with Scratch(self.spark) as scratch:
             pairs = scratch(pairs.distinct(), "pairs")
             able = scratch(both(pairs, self.profiles, "node", "profile").mapInArrow(_able, "a long, b long").distinct(), "able")
-            ends = scratch(able.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends")
-            sets = scratch(_texts(self.documents).join(ends, "doc_id").mapInArrow(
-                _sets, "doc_id long, found binary"), "sets")
-            return staged(both(able, sets, "doc_id", "found").mapInArrow(_verify, "a long, b long"), "found")
+            ends = able.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            ends = scratch(ends.join(self.classes, "node"), "ends")
+            texts = _texts(self.documents).withColumn("at", F.coalesce("doc_id", "text_hash"))
+            # Of rows equal in id and text, one.
+            texts = texts.join(ends, ["at", "text_hash"]).dropDuplicates(["at", "text_hash", "node"])
+            sets = scratch(texts.select("node", "text").mapInArrow(_sets, "node long, found binary"), "sets")
+            return staged(both(able, sets, "node", "found").mapInArrow(_verify, "a long, b long"), "found")
+
+    def id_links(self) -> DataFrame:
+        """(a, b): a class of every id that has several, and each other one."""
+        several = self.linked.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")
+        with Scratch(self.spark) as scratch:
+            several = scratch(several.select("doc_id", "a"), "several")
+            return staged(self.linked.join(several, "doc_id").where("a <> node").select(
+                "a", F.col("node").alias("b")).distinct(), "id_links")
 
-    def labels(self) -> DataFrame:
-        """(node, label) of all nodes with a link."""
+    def labels(self, given: DataFrame | None = None) -> DataFrame:
+        """(node, label) of all nodes with a link, those ``given`` (a, b) among them."""
         lists = self.lists()
         with Scratch(self.spark) as scratch:
             label = None
@@ -310,6 +333,8 @@ class Join:
                     pairs = pairs.where("label <> pl")
                 found = self.verify(
                     pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")))
+                if label is None and given is not None:
+                    found = found.union(given)
                 if label is not None:
                     # Earlier links count as the stars they were contracted to.
                     found = found.union(label.where("node <> label").select("label", "node"))
@@ -339,13 +364,29 @@ class Join:
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id of every row."""
-        named = self.classes.join(self.labels().select(F.col("node").alias("_node"), "label"),
-                                  F.col("node") == F.col("_node"), "left")
-        named = named.select(F.col("key").alias("_key"), F.coalesce("label", "node").alias("_label"))
-        return self.rows.join(named, (F.col("key") == F.col("_key")) & (F.col("n") > 0), "left").select(
-            "doc_id", F.col("n").alias("n_shingles"), F.coalesce("_label", "doc_id").alias("component_id"))
+        label = self.labels(self.id_links())
+        named = self.classes.select("node").join(label, "node", "left").select(
+            "node", F.coalesce("label", "node").alias("label"))
+        with Scratch(self.spark) as scratch:
+            ids = scratch(self.linked.groupBy("node").agg(F.min("doc_id").alias("least")).join(named, "node"), "ids")
+            least = scratch(ids.groupBy("label").agg(F.min("least").alias("component_id")), "least")
+            # Written first: the join then reads two plain shuffles, of which hot parts can be split.
+            named = staged(ids.join(least, "label").select(F.col("node").alias("_node"), "component_id"), "components")
+        return self.rows.join(named, (F.col("node") == F.col("_node")) & (F.col("n") > 0), "left").select(
+            "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+    def groups(self) -> DataFrame:
+        """doc_id, text_hash, group of every row with words: linked sets share a group, whatever their ids."""
+        label = self.labels()
+        return self.linked.join(label, "node", "left").select(
+            "doc_id", "text_hash", F.coalesce("label", "node").alias("group"))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable by links) of every row."""
     return Join(documents).result()
+
+
+def text_groups(documents: DataFrame) -> DataFrame:
+    """doc_id, text_hash, group of every row with words; rows of one id are not united, those without one take part."""
+    return Join(documents, unnamed=True).groups()

@@ -231,6 +231,16 @@ def test_jaccard_finds_links_beyond_pivots(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == label
 
 
+def test_jaccard_of_an_id_with_a_short_and_a_containing_text(spark):
+    long = [sentence(100 + i, 240).split() for i in range(12)]
+    # The long text has the whole short one, whose entries the id's long text mostly has too.
+    made = [(i, " ".join(words[:40])) for i, words in enumerate(long)]
+    made += [(i, " ".join(words)) for i, words in enumerate(long)]
+    made += [(100 + i, " ".join([*words[:39], "other"])) for i, words in enumerate(long)]
+    made += [(200, None), (200, ""), (None, made[0][1]), (None, sentence(99, 30)), (201, made[1][1])]
+    test_jaccard(spark.createDataFrame(made, "doc_id long, text string"), made)
+
+
 @pytest.mark.parametrize("n", range(1, 13))
 def test_light_sets_meet_in_a_subset(n):
     for m in range(1, 13):
