@@ -6,8 +6,10 @@ of their input; the last returns the packed pieces.
 * ``language_id`` drops texts in no language (null, or without a letter).
 * ``line_dedup`` cuts runs of two or more lines that stand earlier too, and single lines
   of ``LONG_LINE`` or more words that do, and drops documents of which no word is left. ``n_chars``, where there is one, follows the cut text.
-* ``ngram_jaccard`` keeps the document with the smallest id of each near-duplicate
-  group, and one row of an id; rows without an id stay.
+* ``ngram_jaccard`` keeps one row of each group of linked texts, whatever their ids, rows
+  without an id included: that of the smallest id among those with texts of no other
+  group, else of the smallest id, else one without an id. So an id stays in several rows
+  only where its texts differ and stand nowhere else. Rows without words stay.
 * ``mixing`` repeats or leaves out documents to the target weights of their sources.
 * ``packing`` puts what remains into sequences of 4096 tokens.
 
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftworks.llm import jaccard, language, lines, mixing, packing
-from siftworks.llm.common import staged
+from siftworks.llm.common import WORD, staged
 
 
 #: Words from which a line that stands earlier too is cut without its neighbours.
@@ -42,14 +44,24 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard.near_duplicates(docs)
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_sw_id")).distinct()
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    found = staged(jaccard.text_groups(docs), "groups")
+    several = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        (F.min("group") < F.max("group")).alias("several")).where("several")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("several").isNotNull().alias("several"),
+                     "doc_id", "text_hash")
+    # Written first: the join then reads two plain shuffles, of which hot parts can be split.
+    first = found.join(staged(several, "several"), "doc_id", "left").groupBy("group").agg(F.min(place).alias("first"))
+    first = staged(first.select(F.col("first.doc_id").alias("_sw_id"), F.col("first.text_hash").alias("_sw_text")), "first")
+    hashed = docs.withColumn("_sw_hash", F.xxhash64("text"))
+    words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    # Of rows equal in id and text, one; the rank limit is applied before the shuffle too.
+    one = Window.partitionBy("doc_id", "_sw_hash").orderBy("_sw_hash")
     kept = (
-        docs.where("doc_id IS NOT NULL").join(gone, F.col("doc_id") == F.col("_sw_id"), "left_anti")
-        .withColumn("_sw_row", F.row_number().over(one)).where("_sw_row = 1").drop("_sw_row")
+        hashed.where(words)
+        .join(first, F.col("doc_id").eqNullSafe(F.col("_sw_id")) & (F.col("_sw_hash") == F.col("_sw_text")), "left_semi")
+        .withColumn("_sw_row", F.row_number().over(one)).where("_sw_row = 1").drop("_sw_row", "_sw_hash")
     )
-    return kept.union(docs.where("doc_id IS NULL"))
+    return kept.union(docs.where(~words))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

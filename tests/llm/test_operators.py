@@ -445,6 +445,18 @@ def test_pipeline_stages(spark, docs, rows, tmp_path):
     assert Counter(map(tuple, result)) == Counter((r.doc_id, r.piece, r.ids_crc32) for r in seen["packing"])
 
 
+def test_pipeline_keeps_a_row_of_every_group_of_texts(spark):
+    a, b, c, d, e, f = (sentence(50 + i, 60) for i in range(6))
+    near = lambda text: text.rsplit(" ", 1)[0] + " other"
+    made = [(1, a), (1, b), (1, c), (2, near(b)), (3, a), (None, a), (None, d), (None, d), (None, near(d)), (4, e), (4, e),
+            (4, f), (4, near(f)), (5, ""), (None, None), *[(6, sentence(70 + i, 30)) for i in range(9)]]
+    frame = spark.createDataFrame(made, "doc_id long, text string")
+    found = Counter(map(tuple, corpus_pipeline.ngram_jaccard(spark, frame, "").collect()))
+    either = lambda doc, text: found.pop((doc, text), 0) + found.pop((doc, near(text)), 0)
+    assert either(None, d) == 1 and either(4, f) == 1
+    assert found == Counter([(1, c), (2, near(b)), (3, a), (4, e), (5, ""), (None, None), *made[-9:]])
+
+
 def test_kept_digest_matches_text(docs):
     row = debruijn.dedup(docs.where("doc_id = 0")).select("kept", F.sha2("kept", 256).alias("h")).first()
     assert row.h == hashlib.sha256(bytes(row.kept)).hexdigest()
