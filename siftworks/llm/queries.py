@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftworks.llm import debruijn, jaccard, language, licenses, lines, mixing, neighbours, packing, topk, toxicity
+from siftworks.llm import (
+    debruijn, jaccard, language, licenses, lines, mixing, neighbours, packing, tokencounts, topk, toxicity,
+)
 from siftworks.llm.common import table
 
 
@@ -82,6 +84,11 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return tokencounts.count(table(spark, sf_dir, "documents"), limit=512)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_neighbours": op2_neighbours,
@@ -93,4 +100,5 @@ QUERIES = {
     "op8_substrings": op8_substrings,
     "op9_line_dedup": op9_line_dedup,
     "op10_jaccard": op10_jaccard,
+    "op13_token_counts": op13_token_counts,
 }
