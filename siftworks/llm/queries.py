@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftworks.llm import (
-    debruijn, jaccard, language, licenses, lines, mixing, neighbours, packing, tokencounts, topk, toxicity,
+    conversations, debruijn, jaccard, language, licenses, lines, merkle, mixing, neighbours, packing, tokencounts,
+    topk, toxicity,
 )
 from siftworks.llm.common import table
 
@@ -84,6 +85,24 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document in the manifest, and whether a copy tampered with still folds to its root."""
+    kept = {c: F.col(c) for c in merkle.FIELDS}
+    flat = merkle.leaf_digest([*{**kept, "text": F.replace("text", F.lit("\n"), F.lit(""))}.values()])
+    tampered = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0) & F.contains("text", F.lit("\n"))
+    proven = merkle.manifest(table(spark, sf_dir, "documents"), checked=F.when(tampered, flat))
+    folded = merkle.fold(F.coalesce("checked", "leaf"), F.col("path"))
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and lightest repair of every conversation after damage."""
+    worn = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.repair(worn).withColumnRenamed("digest", "repaired_sha256")
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     return tokencounts.count(table(spark, sf_dir, "documents"), limit=512)
@@ -100,5 +119,7 @@ QUERIES = {
     "op8_substrings": op8_substrings,
     "op9_line_dedup": op9_line_dedup,
     "op10_jaccard": op10_jaccard,
+    "op11_merkle": op11_merkle,
+    "op12_conversations": op12_conversations,
     "op13_token_counts": op13_token_counts,
 }
