@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from siftworks.catalog import evolution_sql
+
 _FEED = """
 sold AS (
   SELECT o_orderkey AS k, o_custkey AS buyer, strftime(o_orderdate, '%Y-%m') AS ym,
@@ -457,3 +459,4 @@ SELECT left(month, 4) AS feed_year, count(*) AS "rows", count(*) AS last_rows,
   count(*) AS different_rows FROM feed GROUP BY 1"""),
     "contract_checks": _checks_sql(),
 }
+ORACLES |= evolution_sql.oracles(_pipeline)

@@ -23,6 +23,23 @@ class PeerLevel:
     columns: tuple[str, ...]
 
 
+def group_keys(levels: Sequence[PeerLevel]) -> list[str]:
+    """Key columns of the statistics: the level's label and as many values as the widest has."""
+    return ["level", *[f"k{i}" for i in range(max(len(level.columns) for level in levels))]]
+
+
+def peer_groups(levels: Sequence[PeerLevel]) -> Column:
+    """Array of the groups a row belongs to, one struct of :func:`group_keys` per level."""
+    names = group_keys(levels)[1:]
+
+    def entry(level: PeerLevel) -> Column:
+        named = [F.col(c).cast("string").alias(n) for c, n in zip(level.columns, names)]
+        blank = [F.lit(None).cast("string").alias(n) for n in names[len(named):]]
+        return F.struct(F.lit(level.label).alias("level"), *named, *blank)
+
+    return F.array(*map(entry, levels))
+
+
 def peer_statistics(
     rows: DataFrame, measure: str, levels: Sequence[PeerLevel], staging: Staging, **options
 ) -> Staged:
@@ -30,23 +47,20 @@ def peer_statistics(
 
     Only rows with a positive measure have a logarithm and count as peers.
     """
-    width = max(len(level.columns) for level in levels)
-
-    def entry(level: PeerLevel) -> Column:
-        named = [F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(level.columns)]
-        blank = [F.lit(None).cast("string").alias(f"k{i}") for i in range(len(named), width)]
-        return F.struct(F.lit(level.label).alias("level"), *named, *blank)
-
     columns = sorted({c for level in levels for c in level.columns})
     # Written once and narrow, since the quantiles read their values a few times.
     narrow = staging.write(
         rows.where(F.col(measure) > 0).select(F.log(F.col(measure)).alias("_sw_x"), *columns), "logs"
     ).frame
     logs = narrow.select(
-        F.col("_sw_x").alias("x"), F.explode(F.array(*map(entry, levels))).alias("g")
+        F.col("_sw_x").alias("x"), F.explode(peer_groups(levels)).alias("g")
     ).select("g.*", "x")
-    keys = ["level", *[f"k{i}" for i in range(width)]]
-    return exact_quantiles(logs, keys, "x", [0.25, 0.75], staging, **options)
+    return log_quartiles(logs, levels, staging, **options)
+
+
+def log_quartiles(logs: DataFrame, levels: Sequence[PeerLevel], staging: Staging, **options) -> Staged:
+    """Size ``n`` and quartiles ``q`` of ``x`` for every group named by its keys."""
+    return exact_quantiles(logs, group_keys(levels), "x", [0.25, 0.75], staging, **options)
 
 
 def attach_fences(

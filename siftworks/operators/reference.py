@@ -106,6 +106,15 @@ def build_reference(
     """Freeze the domains of the reference month, or stop if that month is unusable."""
     frozen = master.where(strip(F.col(period)) == config.reference_month)
     table = staging.write(category_values(frozen, columns, ascii_columns), "reference")
+    return read_reference(
+        table, config, columns, staging, bands=bands, literal_values=literal_values)
+
+
+def read_reference(
+    table: Staged, config: JobConfig, columns: Sequence[str], staging: Staging, *,
+    bands: Sequence[str] = (), literal_values: int = LITERAL_VALUES,
+) -> Reference:
+    """A written domain table, or stop if it came from an unusable month."""
     measured = {
         row["column"]: row
         for row in table.frame.groupBy("column")

@@ -15,6 +15,7 @@ from siftworks.operators.dedup import duplicate_index, mark_duplicates
 from siftworks.operators.fences import attach_fences, outside_fences, peer_statistics
 from siftworks.operators.groups import attach_mean, cent_sums
 from siftworks.operators.reference import Reference, build_reference
+from siftworks.operators.versions import VersionedReference, with_approvals
 from siftworks.presets import property_sales as sales
 from siftworks.staging import Staged, Staging, write_observed
 
@@ -52,11 +53,14 @@ def write_master(rows: DataFrame, path: str) -> Master:
 
 
 def learn_reference(
-    master: DataFrame, config: JobConfig, staging: Staging, ascii_columns: frozenset[str]
-) -> Reference:
-    return build_reference(
+    master: DataFrame, config: JobConfig, staging: Staging, ascii_columns: frozenset[str],
+    approvals: DataFrame | None = None,
+) -> Reference | VersionedReference:
+    """The domains of the reference month; with ``approvals``, their versions by month."""
+    frozen = build_reference(
         master, config, sales.CATEGORIES, staging, bands=sales.BANDS, ascii_columns=ascii_columns
     )
+    return frozen if approvals is None else with_approvals(frozen, approvals, sales.CATEGORIES, staging)
 
 
 def with_duplicates(assessed: DataFrame, staging: Staging, **options) -> tuple[DataFrame, Staged]:
@@ -107,7 +111,7 @@ class Decisions:
     """The decision table and the small tables it was built from."""
 
     frame: DataFrame
-    reference: Reference
+    reference: Reference | VersionedReference
     duplicates: Staged
     statistics: Staged
 
@@ -121,19 +125,19 @@ class Decisions:
 
 
 def assessed_table(
-    master: Master, config: JobConfig, staging: Staging
+    master: Master, config: JobConfig, staging: Staging, approvals: DataFrame | None = None
 ) -> tuple[Staged, Reference]:
     """Stage the assessed rows: the several passes that follow read pruned columns of it."""
     ascii_columns = master.ascii_columns
-    reference = learn_reference(master.frame, config, staging, ascii_columns)
+    reference = learn_reference(master.frame, config, staging, ascii_columns, approvals)
     rows = sales.assess(master.frame, reference, config, ascii_columns=ascii_columns)
     return staging.write(rows, "assessed"), reference
 
 
 def marked_table(
-    master: Master, config: JobConfig, staging: Staging
+    master: Master, config: JobConfig, staging: Staging, approvals: DataFrame | None = None
 ) -> tuple[DataFrame, Reference, Staged]:
-    assessed, reference = assessed_table(master, config, staging)
+    assessed, reference = assessed_table(master, config, staging, approvals)
     marked, duplicates = with_duplicates(assessed.frame, staging)
     if not fits_broadcast(duplicates):
         # Marking took a shuffle; later passes should not repeat it.
@@ -141,8 +145,10 @@ def marked_table(
     return marked, reference, duplicates
 
 
-def decide(master: Master, config: JobConfig, staging: Staging) -> Decisions:
-    marked, reference, duplicates = marked_table(master, config, staging)
+def decide(
+    master: Master, config: JobConfig, staging: Staging, approvals: DataFrame | None = None
+) -> Decisions:
+    marked, reference, duplicates = marked_table(master, config, staging, approvals)
     statistics = price_statistics(marked, staging)
     return Decisions(
         with_fences(marked, statistics, config), reference, duplicates, statistics

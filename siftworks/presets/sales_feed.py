@@ -18,6 +18,13 @@ FEED_CONFIG = JobConfig(
     start_month="1995-01", end_month="2001-12", reference_month="1995-01",
     registration_from="1995-03",
 )
+#: Approvals of values the reference month lacks, one of them given twice, and the end of one it has.
+FEED_APPROVALS = (
+    ("add", "town", "unknown ", "1996-05", "1997-09", "desk a"),
+    ("add", "town", "UNKNOWN", "1998-02", None, "desk b"),
+    ("add", "storey_range", "01 TO 05", "1997-01", None, "desk a"),
+    ("end", "flat_type", "SINGLE", "1998-07", None, "desk b"),
+)
 FEED_NAME, FEED_DIGEST = "sales_feed", "derived"
 
 

@@ -1,8 +1,10 @@
 """CSV snapshots with differing headers, read as text with row lineage.
 
-One scan per distinct header. Row numbers come from counting rows per input
-split once and adding, for each row, the rows before its split, so no file is
-sorted and no row leaves its task to be numbered.
+One scan per distinct header, or several where files are very many. Row numbers
+come from counting rows per input split once and adding, for each row, the rows
+before its split: files are numbered in a small dictionary, and a table of numbers
+only, one row per split, is broadcast to each scan. So no file is sorted and no
+row leaves its task to be numbered, however many splits there are.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ import codecs
 import csv
 import hashlib
 import io
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from urllib.parse import quote
@@ -25,7 +28,6 @@ from siftworks.functions.identity import record_id
 from siftworks.functions.naming import col
 from siftworks.functions.periods import is_month
 from siftworks.functions.text import strip
-from siftworks.operators.attach import attach
 from siftworks.presets import property_sales as sales
 from siftworks.sources import files
 from siftworks.staging import Staged, Staging
@@ -34,6 +36,9 @@ SOURCE_NOTE = "csv_snapshot"
 _CHUNK = 8 * 1024 * 1024
 _FILE_SCHEMA = "file string, uri string, bytes bigint"
 _INSPECTED = "file string, uri string, bytes bigint, sha256 string, quotes bigint, header array<string>"
+#: Splits and files read in one scan. Their offsets are 28 bytes a split, their names and digests
+#: a row a file, so both tables can be broadcast; more files make more scans.
+SPLITS_AT_ONCE, FILES_AT_ONCE = 500_000, 50_000
 _MIN_SPLITS = "spark.sql.files.minPartitionNum"
 
 
@@ -217,26 +222,57 @@ def scan_csv(
     columns = sorted({c for s in sources for c in s.header})
     refuse_case_twins(columns, reserved)
     spanning = _spans_lines(spark, sources)
-    grouped: dict[tuple, list[SourceFile]] = {}
-    for source in sources:
-        grouped.setdefault((source.header, _local_key(source.uri) in spanning), []).append(source)
-    parts = [_read(spark, group, multi) for (_, multi), group in grouped.items()]
+    parts = [_read(spark, group, multi) for group, multi in _scans(spark, sources, spanning)]
     blocks = staging.write(
-        _union([_block_counts(part, period, config) for part in parts]), "blocks"
+        _union([
+            _block_counts(part, period, config).withColumn("scan", F.lit(number)) for number, part in enumerate(parts)
+        ]), "blocks"
     )
     long_rows = blocks.frame.where(F.col("overflow") > 0).select("_path").limit(1).collect()
     if long_rows:
         raise ValueError(f"A row is longer than the header: {long_rows[0]._path}")
     known = spark.createDataFrame(
-        [(_local_key(s.uri), s.file, s.sha256, s.bytes, list(s.header)) for s in sources],
-        "_key string, _source_file string, _source_sha256 string, bytes bigint, header array<string>",
+        [(_local_key(s.uri), i, s.file, s.sha256, s.bytes, list(s.header)) for i, s in enumerate(sources)],
+        "_key string, _file int, _source_file string, _source_sha256 string, bytes bigint, header array<string>",
     )
     inventory = _inventory(blocks, known)
-    offsets = staging.write(_offsets(blocks, known), "offsets")
-    master = _union([_rows(part, columns, period, config, offsets) for part in parts])
+    named = staging.write(_dictionary(blocks, known), "files")
+    offsets = staging.write(_offsets(blocks, named), "offsets")
+    master = _union([
+        _rows(part, columns, period, config, named, offsets, number) for number, part in enumerate(parts)])
     return Scan(master, columns, sources, inventory)
 
 
+def _bytes(setting: str) -> int:
+    """A size as Spark settings write it."""
+    number, unit = re.fullmatch(r"([0-9]+)([a-z]*)", setting.strip().lower()).groups()
+    return int(number) << {"": 0, "b": 0, "k": 10, "kb": 10, "m": 20, "mb": 20, "g": 30, "gb": 30, "t": 40, "tb": 40}[unit]
+
+
+def _scans(
+    spark: SparkSession, sources: Sequence[SourceFile], spanning: set[str]
+) -> list[tuple[list[SourceFile], bool]]:
+    """Files to read together: of one header, and few enough for their offsets to be broadcast."""
+    widest = max(_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")), 1)
+    # A scan smaller than all cores is cut into about this many further splits.
+    spare = int(spark.conf.get(_MIN_SPLITS))
+    grouped: dict[tuple, list[SourceFile]] = {}
+    for source in sources:
+        grouped.setdefault((source.header, _local_key(source.uri) in spanning), []).append(source)
+    scans = []
+    for (_, multi), group in grouped.items():
+        scans.append(([], multi))
+        splits = spare
+        for source in group:
+            more = 1 if multi else -(-source.bytes // widest) + 1
+            if scans[-1][0] and (splits + more > SPLITS_AT_ONCE or len(scans[-1][0]) >= FILES_AT_ONCE):
+                scans.append(([], multi))
+                splits = spare
+            scans[-1][0].append(source)
+            splits += more
+    return scans
+
+
 def _local_key(uri: str) -> str:
     scheme, _, rest = uri.partition(":")
     return "file:/" + rest.lstrip("/") if scheme == "file" else uri
@@ -291,27 +327,42 @@ def _inventory(blocks: Staged, known: DataFrame) -> DataFrame:
     )
 
 
-def _offsets(blocks: Staged, known: DataFrame) -> DataFrame:
-    """Rows before each split; a file has one row here per split, never per data row."""
+def _dictionary(blocks: Staged, known: DataFrame) -> DataFrame:
+    """One row per file: its path as the reader spells it, a number, its name and digest."""
+    paths = blocks.frame.groupBy("scan", "_path").agg(F.sum("n").alias("n"))
+    keyed = paths.select("scan", "_path", _path_key(F.col("_path")).alias("_key"))
+    return keyed.join(known.select("_key", "_file", "_source_file", "_source_sha256"), "_key").drop("_key")
+
+
+def _offsets(blocks: Staged, named: Staged) -> DataFrame:
+    """Numbers only, one row per split: its file and start, the rows before it, its first position."""
     earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1
     )
     before = F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("bigint"))
     placed = blocks.frame.select(
-        _path_key(F.col("_path")).alias("_key"), "_path", "_block", F.col("n").alias("_sw_n"),
-        F.col("first_position").alias("_sw_first"), before.alias("_sw_before"),
+        "scan", "_path", F.col("_block").alias("_sw_block"), F.col("first_position").alias("_sw_first"),
+        before.alias("_sw_before"),
     )
-    return placed.join(known.select("_key", "_source_file", "_source_sha256"), "_key").drop("_key")
+    return placed.join(named.frame.select("_path", "_file"), "_path").select(
+        "scan", F.col("_file").alias("_sw_file"), "_sw_block", (F.col("_sw_before") - F.col("_sw_first")).alias("_sw_shift"))
 
 
 def _rows(
-    part: DataFrame, columns: Sequence[str], period: str, config: JobConfig, offsets: Staged
+    part: DataFrame, columns: Sequence[str], period: str, config: JobConfig, named: Staged, offsets: Staged,
+    number: int,
 ) -> DataFrame:
+    """Numbered rows of one scan, by two small tables that its files were chosen to keep small."""
     month = strip(F.col(period))
     wanted = part.where(~is_month(month) | _in_scope(month, config))
-    placed = attach(wanted, offsets.frame, offsets, ["_path", "_block"], spread=["_position"])
-    number = F.col("_sw_before") + F.col("_position") - F.col("_sw_first") + 1
-    row = F.coalesce(number, F.raise_error(F.lit("input changed while it was read")).cast("bigint"))
+    mine = F.col("scan") == number
+    files_ = named.frame.where(mine).select(
+        F.col("_path").alias("_sw_path"), "_file", "_source_file", "_source_sha256")
+    shifts = offsets.frame.where(mine).drop("scan")
+    placed = wanted.join(F.broadcast(files_), F.col("_path") == F.col("_sw_path"), "left").join(
+        F.broadcast(shifts), (F.col("_file") == F.col("_sw_file")) & (F.col("_block") == F.col("_sw_block")), "left")
+    row = F.col("_position") + F.col("_sw_shift") + 1
+    row = F.coalesce(row, F.raise_error(F.lit("input changed while it was read")).cast("bigint"))
     numbered = placed.withColumn("_source_row", row)
     present = set(part.columns)
     return numbered.select(
