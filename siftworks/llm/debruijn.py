@@ -12,7 +12,11 @@ Of every repeated edge the first source place (smallest document, then word) is
 joined to its other occurrences; each place meets one source, never all other places.
 Edges that follow each other both in a document and at their source coordinates compact
 into one path; where the two part, the graph branches and another path begins. A path
-is thereby verified word by word along its source, and carries its coordinates.
+is thereby verified edge by edge along its source, and carries its coordinates. Words, edges
+and texts are compared by hashes of 64, 96 and 128 bits, never letter by letter.
+
+Rows of one id are told apart by a 64-bit key of their text. Before it is used, all rows are
+grouped by id and key; should two texts of an id share one, another salt gives other keys.
 
 A word is removed if a window that covers it also starts in a document with a smaller
 id. All windows are judged on the input.
@@ -53,7 +57,7 @@ def window_anchors(numbers: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def anchors(documents: DataFrame, k: int) -> DataFrame:
+def anchors(documents: DataFrame, salt: int, k: int) -> DataFrame:
     """(anchor, doc_id, text_key): the distinct anchors of every text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,40 +75,56 @@ def anchors(documents: DataFrame, k: int) -> DataFrame:
             yield _anchor_batch(held)
 
     rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    return rows.select("doc_id", text_key(), raw_text()).mapInArrow(run, "anchor long, doc_id long, text_key int")
+    return rows.select("doc_id", text_key(salt), raw_text()).mapInArrow(run, "anchor long, doc_id long, text_key long")
 
 
 def _anchor_batch(held: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
     sizes = [len(f) for *_, f in held]
     docs = np.repeat(np.array([d for d, *_ in held], np.int64), sizes)
-    keys = np.repeat(np.array([key for _, key, _ in held], np.int32), sizes)
+    keys = np.repeat(np.array([key for _, key, _ in held], np.int64), sizes)
     return pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate([f for *_, f in held]).view(np.int64)), pa.array(docs), pa.array(keys)],
         names=["anchor", "doc_id", "text_key"])
 
 
-def exact_copies(documents: DataFrame) -> DataFrame:
-    """Documents whose text a smaller id has too: doc_id, text_key, n_words, source."""
+def exact_copies(documents: DataFrame) -> tuple[DataFrame, int]:
+    """Documents whose text a smaller id has too: doc_id, text_key, n_words, source; and the keys' salt."""
     rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
-        "doc_id", text_key(), F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(5), "text").alias("t2"),
-        word_count(F.col("text")).alias("n_words"))
+        "doc_id", *_text_hashes(), word_count(F.col("text")).alias("n_words"))
     with Scratch(documents.sparkSession) as scratch:
         rows = scratch(rows, "texts")
+        salt = 0
+        while _shared_keys(rows, salt):
+            salt += 1
+        rows = rows.withColumn("text_key", text_key(salt, F.col("t1"), F.col("t2")))
         first = rows.groupBy("t1", "t2").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))
         first = scratch(first.where("source < last").drop("last"), "first")
-        return staged(rows.join(first, ["t1", "t2"]).where("doc_id > source")
-                      .select("doc_id", "text_key", "n_words", "source"), "copies")
+        copies = rows.join(first, ["t1", "t2"]).where("doc_id > source")
+        return staged(copies.select("doc_id", "text_key", "n_words", "source"), "copies"), salt
+
+
+def _text_hashes() -> list[Column]:
+    """128 bits of hash, by which texts are taken as equal."""
+    return [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(5), "text").alias("t2")]
+
+
+def text_key(salt: int, *hashes: Column) -> Column:
+    """Tells rows of one id apart by their texts, under a salt with which no two of them agree."""
+    t1, t2 = hashes or _text_hashes()
+    return F.xxhash64(F.lit(salt), t1, t2).alias("text_key")
 
 
-def text_key() -> Column:
-    """Tells rows of one id apart by their texts."""
-    return F.pmod(F.xxhash64("text"), F.lit(1 << 31)).cast("int").alias("text_key")
+def _shared_keys(rows: DataFrame, salt: int) -> bool:
+    """Do two different texts of one id have one key?"""
+    seen = rows.groupBy("doc_id", text_key(salt, F.col("t1"), F.col("t2"))).agg(
+        F.min("t1").alias("a1"), F.max("t1").alias("b1"), F.min("t2").alias("a2"), F.max("t2").alias("b2"))
+    return not seen.where("a1 < b1 OR a2 < b2").isEmpty()
 
 
-def shared_anchors(documents: DataFrame, copies: DataFrame, k: int) -> DataFrame:
+def shared_anchors(documents: DataFrame, copies: DataFrame, salt: int, k: int) -> DataFrame:
     """(doc_id, text_key, anchors): of texts that aren't exact copies, the anchors several documents have."""
     with Scratch(documents.sparkSession) as scratch:
-        rows = scratch(anchors(documents, k), "anchors")
+        rows = scratch(anchors(documents, salt, k), "anchors")
         for without in (None, copies.select("doc_id", "text_key").distinct()):
             if without is not None:
                 rows = scratch(rows.join(without, ["doc_id", "text_key"], "left_anti"), "originals")
@@ -115,11 +135,11 @@ def shared_anchors(documents: DataFrame, copies: DataFrame, k: int) -> DataFrame
         return staged(rows.groupBy("doc_id", "text_key").agg(F.collect_list("anchor").alias("anchors")), "of_doc")
 
 
-def edges(documents: DataFrame, copies: DataFrame, k: int) -> DataFrame:
+def edges(documents: DataFrame, copies: DataFrame, salt: int, k: int) -> DataFrame:
     """Windows whose anchor stands in several documents: e1, e2 (96 bits of hash), doc_id, text_key, start."""
-    of_doc = shared_anchors(documents, copies, k)
+    of_doc = shared_anchors(documents, copies, salt, k)
     texts = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
-        "doc_id", text_key(), raw_text().alias("text"))
+        "doc_id", text_key(salt), raw_text().alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = WordNumbers()
@@ -133,7 +153,7 @@ def edges(documents: DataFrame, copies: DataFrame, k: int) -> DataFrame:
                 known = known.values.to_numpy(zero_copy_only=False).view(np.uint64)
                 start = np.flatnonzero(np.isin(window_anchors(own, k), known))
                 held.append([runs(own, k, 1)[start].view(np.int64), runs(own, k, 2)[start].astype(np.uint32).view(np.int32),
-                             np.full(len(start), doc), np.full(len(start), key, np.int32), start.astype(np.int32)])
+                             np.full(len(start), doc), np.full(len(start), key, np.int64), start.astype(np.int32)])
                 count += len(start)
                 if count > 200_000:
                     yield _edge_batch(held)
@@ -142,7 +162,7 @@ def edges(documents: DataFrame, copies: DataFrame, k: int) -> DataFrame:
             yield _edge_batch(held)
 
     return texts.join(of_doc, ["doc_id", "text_key"]).select(
-        "doc_id", "text_key", "text", "anchors").mapInArrow(run, "e1 long, e2 int, doc_id long, text_key int, start int")
+        "doc_id", "text_key", "text", "anchors").mapInArrow(run, "e1 long, e2 int, doc_id long, text_key long, start int")
 
 
 def _edge_batch(held: list[list[np.ndarray]]) -> pa.RecordBatch:
@@ -167,14 +187,14 @@ def sources(places: DataFrame) -> DataFrame:
     )
 
 
-def repeated_spans(documents: DataFrame, k: int = WINDOW) -> DataFrame:
-    """Maximal paths of words that a document with a smaller id has too.
+def repeated_spans(documents: DataFrame, k: int = WINDOW) -> tuple[DataFrame, int]:
+    """Maximal paths of words that a document with a smaller id has too, and the salt of their text keys.
 
     (doc_id, text_key, first_word, last_word, source, source_word), words from 0.
     """
-    copies = exact_copies(documents)
+    copies, salt = exact_copies(documents)
     with Scratch(documents.sparkSession) as scratch:
-        places = scratch(edges(documents, copies, k), "edges")
+        places = scratch(edges(documents, copies, salt, k), "edges")
         first = scratch(sources(places), "sources")
         found = places.join(first, ["e1", "e2"]).where("doc_id > source").select(
             "doc_id", "text_key", "start", "source", "source_start")
@@ -196,10 +216,10 @@ def repeated_spans(documents: DataFrame, k: int = WINDOW) -> DataFrame:
         whole = copies.where(F.col("n_words") >= k).select(
             "doc_id", "text_key", "source", F.lit(0).alias("first_word"),
             (F.col("n_words") - 1).cast("int").alias("last_word"), F.lit(0).alias("source_word"))
-        return staged(paths.unionByName(whole), "spans")
+        return staged(paths.unionByName(whole), "spans"), salt
 
 
-def remove_spans(documents: DataFrame, spans: DataFrame) -> DataFrame:
+def remove_spans(documents: DataFrame, spans: DataFrame, salt: int) -> DataFrame:
     """doc_id, n_words, n_removed, kept (words joined by one space) of every row."""
     of_doc = spans.groupBy("doc_id", "text_key").agg(
         F.collect_list(F.struct("first_word", "last_word")).alias("cut"))
@@ -225,7 +245,7 @@ def remove_spans(documents: DataFrame, spans: DataFrame) -> DataFrame:
             if rows:
                 yield _kept_batch(rows)
 
-    texts = documents.select("doc_id", text_key(), raw_text().alias("text"))
+    texts = documents.select("doc_id", text_key(salt), raw_text().alias("text"))
     joined = texts.join(of_doc, (F.col("doc_id") == F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
     return joined.select("doc_id", "text", "cut").mapInArrow(
         run, "doc_id long, n_words long, n_removed long, kept binary")
@@ -239,4 +259,4 @@ def _kept_batch(rows: list[tuple]) -> pa.RecordBatch:
 def dedup(documents: DataFrame, k: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed, kept of every row."""
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return remove_spans(documents, repeated_spans(documents, k))
+    return remove_spans(documents, *repeated_spans(documents, k))

@@ -5,7 +5,7 @@ from __future__ import annotations
 _SIZES = r"""
 d AS (SELECT doc_id, source, text,
         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
-        CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 6) AS BIGINT) AS draw
+        CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(md5(text), 'null')), 1, 12) AS BIGINT) AS draw
       FROM {documents}),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
         [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][CAST((row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1 AS INT)] AS weight
@@ -18,13 +18,13 @@ f AS (SELECT *, min(CASE WHEN ratio > level THEN level END) OVER () AS final FRO
 t AS (SELECT source, source_size, CASE WHEN ratio <= level THEN cap ELSE weight * final END AS target FROM f),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size + 1e-12) ELSE 0 END AS epochs FROM t),
 w AS (SELECT *, greatest(target - epochs * source_size, 0) AS want FROM p),
-c AS (SELECT source, draw, sum(size) AS s FROM d GROUP BY source, draw),
-b AS (SELECT source, draw, s, sum(s) OVER (PARTITION BY source ORDER BY draw) - s AS before FROM c),
-x AS (SELECT b.source, min(draw) FILTER (WHERE before + s * 0.5 > want) AS stop
+b AS (SELECT *, row_number() OVER o AS place, sum(size) OVER o - size AS before
+      FROM d WINDOW o AS (PARTITION BY source ORDER BY draw ROWS UNBOUNDED PRECEDING)),
+x AS (SELECT b.source, min(place) FILTER (WHERE before + size * 0.5 > want) AS stop
       FROM b JOIN w ON b.source IS NOT DISTINCT FROM w.source GROUP BY b.source),
-m AS (SELECT d.*, w.source_size, w.target,
-        CAST(epochs AS BIGINT) + CASE WHEN x.stop IS NULL OR draw < x.stop THEN 1 ELSE 0 END AS copies
-      FROM d JOIN w ON d.source IS NOT DISTINCT FROM w.source JOIN x ON d.source IS NOT DISTINCT FROM x.source)
+m AS (SELECT b.*, w.source_size, w.target,
+        CAST(epochs AS BIGINT) + CASE WHEN x.stop IS NULL OR place < x.stop THEN 1 ELSE 0 END AS copies
+      FROM b JOIN w ON b.source IS NOT DISTINCT FROM w.source JOIN x ON b.source IS NOT DISTINCT FROM x.source)
 """
 
 _LINES = r"""

@@ -460,3 +460,36 @@ def test_pipeline_keeps_a_row_of_every_group_of_texts(spark):
 def test_kept_digest_matches_text(docs):
     row = debruijn.dedup(docs.where("doc_id = 0")).select("kept", F.sha2("kept", 256).alias("h")).first()
     assert row.h == hashlib.sha256(bytes(row.kept)).hexdigest()
+
+
+def test_mix_parts_rows_without_ids(spark):
+    """Targets are met where ids are null or repeated and where rows are equal."""
+    made = [(None, f"{'w ' * (1 + i % 20)}{i}", "a") for i in range(3000)] + [(7, "same text here", "b")] * 900 + [
+        (i, "x y", "c") for i in range(200)]
+    frame = spark.createDataFrame(made, "doc_id long, text string, source string").repartition(5)
+    found = mixing.mix(frame).groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max("size").alias("most"))
+    for r in found.collect():
+        assert abs(r.taken - r.target) <= r.most
+
+
+def test_odd_column_names_pass_through_mixing(spark):
+    names = ["doc_id", "text", "source", "_epochs", "_prefix", "_draw", "a.b", "c`d", "size"]
+    frame = spark.createDataFrame([(i, "x y z", "s", 1, 2, 3, 4, 5, 6) for i in range(20)], names)
+    mixed = mixing.repeat(frame)
+    assert mixed.columns == names and set(map(tuple, mixed.collect())) <= set(map(tuple, frame.collect()))
+    with pytest.raises(ValueError, match="_sw_"):
+        mixing.repeat(frame.withColumnRenamed("size", "_sw_source"))
+
+
+def test_texts_of_one_id_never_share_a_key(spark, docs, rows, monkeypatch):
+    """Keys that collide under the first salts give what keys that don't give."""
+    long = [(9, sentence(300, 50) + " " + sentence(301, 40)), (9, sentence(302, 14)), (12, sentence(300, 50)),
+            (12, sentence(303, 90) + " " + sentence(301, 40)), (12, sentence(302, 14)), (13, "a b")]
+    frame = spark.createDataFrame(long, "doc_id long, text string")
+    key = lambda r: (r.doc_id, r.n_words, r.n_removed, bytes(r.kept))
+    want = sorted(map(key, debruijn.dedup(frame).collect()))
+    assert sum(n for _, _, n, _ in want) == 50 + 40 + 14
+    plain = debruijn.text_key
+    monkeypatch.setattr(debruijn, "text_key", lambda salt, *h: F.lit(3).cast("long").alias("text_key") if salt < 2 else plain(salt, *h))
+    assert sorted(map(key, debruijn.dedup(frame).collect())) == want
