@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from siftworks.catalog import evolution_sql
+from siftworks.catalog import evolution_sql, odd_sql
 
 _FEED = """
 sold AS (
@@ -459,4 +459,4 @@ SELECT left(month, 4) AS feed_year, count(*) AS "rows", count(*) AS last_rows,
   count(*) AS different_rows FROM feed GROUP BY 1"""),
     "contract_checks": _checks_sql(),
 }
-ORACLES |= evolution_sql.oracles(_pipeline)
+ORACLES |= evolution_sql.oracles(_pipeline) | odd_sql.oracles(_FEED, _ASSESSED)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftworks.catalog import evolution
+from siftworks.catalog import evolution, odd
 from siftworks.config import JobConfig
 from siftworks.functions import identity, numbers, terms, text
 from siftworks.operators import groups, profile, reference, reports
@@ -432,4 +432,4 @@ QUERIES: dict[str, Query] = {
         numeric_describe, top_values, column_profile, conservation, source_inventory,
         csv_row_lineage, contract_checks,
     )
-} | evolution.QUERIES
+} | evolution.QUERIES | odd.QUERIES

@@ -79,17 +79,19 @@ class Reference:
 def category_values(
     rows: DataFrame, columns: Sequence[str], ascii_columns: frozenset[str] = frozenset()
 ) -> DataFrame:
-    """``column, value, n``: how often each normalised category value occurs."""
-    pairs = [
-        F.struct(F.lit(c).alias("column"), normalize_text(F.col(c), c in ascii_columns).alias("value"))
-        for c in columns
-    ]
-    return (
+    """``column, value, n``: how often each normalised category value occurs.
+
+    Texts are counted as they are first, so that only distinct ones are normalised.
+    """
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]
+    counted = (
         rows.select(F.explode(F.array(*pairs)).alias("pair"))
         .select("pair.*")
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    tidy = normalize_text(F.col("value"), ascii_columns.issuperset(columns))
+    return counted.select("column", tidy.alias("value"), "n").groupBy("column", "value").agg(F.sum("n").alias("n"))
 
 
 def build_reference(

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from siftworks.config import JobConfig
 from siftworks.functions.identity import BUSINESS_CODE_FORM, sha256
-from siftworks.functions.text import has_non_ascii
-from siftworks.operators.attach import fits_broadcast
+from siftworks.functions.text import has_non_ascii, nfkc
+from siftworks.operators.attach import attach, fits_broadcast
 from siftworks.operators.dedup import duplicate_index, mark_duplicates
 from siftworks.operators.fences import attach_fences, outside_fences, peer_statistics
 from siftworks.operators.groups import attach_mean, cent_sums
@@ -52,6 +52,33 @@ def write_master(rows: DataFrame, path: str) -> Master:
     return Master(table, frozenset(c for c, n in found.items() if not n))
 
 
+def compose_text(
+    rows: DataFrame, ascii_columns: frozenset[str], staging: Staging, **options
+) -> DataFrame:
+    """Add ``_composed_<column>`` where a normalised column holds more than ASCII.
+
+    Only the distinct values that need it are composed in Python; rows get them back by a join
+    in which ASCII rows take no part.
+    """
+    for column in sales.NORMALIZED:
+        if column not in rows.columns or column in ascii_columns:
+            continue
+        odd = has_non_ascii(F.col(column))
+        values = rows.where(odd).groupBy(column).agg(F.count(F.lit(1)).alias("_sw_n"))
+        known = staging.write(values.withColumn("_sw_text", nfkc(F.col(column))), "composed")
+        joined = attach(
+            rows, known.frame, known, [column], spread=[ROW_ID], active=odd, **options)
+        rows = joined.withColumn(
+            sales.composed(column), F.coalesce("_sw_text", F.col(column))).drop("_sw_n", "_sw_text")
+    return rows
+
+
+def tidy_text(master: Master, staging: Staging) -> DataFrame:
+    """Master rows with their originals in ``_raw`` and tidy text in place of it."""
+    rows = compose_text(master.frame, master.ascii_columns, staging)
+    return sales.clean_text(rows, sales.source_columns(master.frame), master.ascii_columns)
+
+
 def learn_reference(
     master: DataFrame, config: JobConfig, staging: Staging, ascii_columns: frozenset[str],
     approvals: DataFrame | None = None,
@@ -130,7 +157,8 @@ def assessed_table(
     """Stage the assessed rows: the several passes that follow read pruned columns of it."""
     ascii_columns = master.ascii_columns
     reference = learn_reference(master.frame, config, staging, ascii_columns, approvals)
-    rows = sales.assess(master.frame, reference, config, ascii_columns=ascii_columns)
+    composed = compose_text(master.frame, ascii_columns, staging)
+    rows = sales.assess(composed, reference, config, ascii_columns=ascii_columns)
     return staging.write(rows, "assessed"), reference
 
 

@@ -344,7 +344,9 @@ def refresh(
         known = read_reference(
             _written(spark, reference), config, sales.CATEGORIES, staging, bands=sales.BANDS)
         assessed = staging.write(
-            sales.assess(new.frame, known, config, ascii_columns=new.ascii_columns), "assessed").frame
+            sales.assess(
+                plan.compose_text(new.frame, new.ascii_columns, staging), known, config,
+                ascii_columns=new.ascii_columns), "assessed").frame
         keys = _affected_keys(kept, gone, assessed, staging)
         hit = attach(kept, keys.frame, keys, ["_key_hash"], spread=[plan.ROW_ID]).drop("_sw_n")
         kept = staging.write(hit, "kept").frame

@@ -43,8 +43,9 @@ def validate(
     The assessed rows are staged, so that later filters do not repeat the rules.
     """
     ascii_columns = plan.ascii_text_columns(master)
+    composed = plan.compose_text(master, ascii_columns, staging)
     rows = staging.write(
-        sales.assess(master, reference, config, ascii_columns=ascii_columns), "assessed"
+        sales.assess(composed, reference, config, ascii_columns=ascii_columns), "assessed"
     ).frame
     accepted = rows.where(F.col("_quarantine_stage").isNull())
     rejected = rows.where(F.col("_quarantine_stage").isNotNull()).select(

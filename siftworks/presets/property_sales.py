@@ -66,18 +66,25 @@ def _known(column: str) -> str:
     return f"_known_{column}"
 
 
+def composed(column: str) -> str:
+    """The column that holds a source column's composed text, where it was composed before."""
+    return f"_composed_{column}"
+
+
 def clean_text(
     master: DataFrame, columns: Sequence[str], ascii_columns: frozenset[str] = frozenset()
 ) -> DataFrame:
     """Keep the originals in ``_raw`` and replace every source column by tidy text."""
-    tidy = [
-        (
-            text.normalize_text(col(c), c in ascii_columns)
-            if c in NORMALIZED
-            else text.blank_to_null(col(c))
-        ).alias(c)
-        for c in columns
-    ]
+    present = set(master.columns)
+
+    def tidied(c: str) -> Column:
+        if c not in NORMALIZED:
+            return text.blank_to_null(col(c))
+        if composed(c) in present:
+            return text.normalize_text(col(composed(c)), True)
+        return text.normalize_text(col(c), c in ascii_columns)
+
+    tidy = [tidied(c).alias(c) for c in columns]
     recorded = F.col("month").alias("_recorded_month")
     return master.select(*LINEAGE, F.struct(*[col(c) for c in columns]).alias("_raw"), recorded, *tidy)
 
