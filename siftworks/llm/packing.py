@@ -9,7 +9,8 @@ independently, one task each; the number of groups grows with the tokens, and a
 group wastes at most its few last bins.
 
 Token ids come from a public tokenizer whose words never span white space, so each
-distinct word is encoded once per worker and documents are joined from these.
+distinct word is encoded once per worker and documents are joined from these. A new word
+is put together from its parts, of which there are far fewer than words.
 
 Results for odd input: a null or empty text is one piece of one token (the end
 mark); rows with equal ids are packed as rows of their own; an empty table gives an
@@ -19,10 +20,11 @@ empty one; very long texts are cut and hold one document's tokens in memory.
 from __future__ import annotations
 
 import os
+import re
 import sys
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftworks.llm.common import batch, raw_text, rows_of
+from siftworks.llm.tokencounts import byte_characters
 from siftworks.staging import Staging
 
 PIECES = pa.schema([
@@ -38,41 +41,68 @@ PIECES = pa.schema([
 ])
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
-#: Encoded words kept by a worker: those of late and, of equal number, those before them.
-_words: dict[str, list[dict[bytes, bytes]]] = {}
-WORDS_KEPT = 300_000
+#: Encoded words, and parts of words, kept by a worker: those of late and, of equal number, those before them.
+WORDS_KEPT, PARTS_KEPT = 150_000, 100_000
+_encoders: dict[str, Encoder] = {}
+# Words of printable ASCII and accented Latin letters only: their case and parts are the same everywhere.
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+# Fixed value: how the tokenizer cuts such a word, in lower case, before its merges.
+_PARTS = re.compile(
+    "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+_SPECIAL = b"<|"
+
+
+class Kept(dict):
+    """A dictionary that makes what it lacks, and forgets what was not used for long."""
+
+    def __init__(self, make: Callable, most: int) -> None:
+        super().__init__()
+        self.make, self.most, self.before = make, most, {}
+
+    def __missing__(self, key):
+        if len(self) > self.most:
+            self.before = dict(self)
+            self.clear()
+        found = self.before.get(key)
+        self[key] = found = self.make(key) if found is None else found
+        return found
 
 
 class Encoder:
-    """Ids of whole texts, little-endian, from a cache of encoded words."""
+    """Ids of whole texts, little-endian, from kept words, which are put together from kept parts.
+
+    A word that is not plain, or may hold a special token, is encoded whole by the library.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept = _words.setdefault(path, [{}, {}])
+        self.characters = byte_characters()
+        self.parts = Kept(self._part, PARTS_KEPT)
+        self.words = Kept(self._word, WORDS_KEPT)
+
+    def _part(self, part: str) -> bytes:
+        shown = part if part.isascii() else "".join([self.characters[b] for b in part.encode()])
+        return pack_ids([token.id for token in self.tokenizer.model.tokenize(shown)])
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if _SPECIAL not in word and _PLAIN.fullmatch(text):
+            parts = self.parts
+            return b"".join([parts[p] for p in _PARTS.findall(text.lower())])
+        return pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def __call__(self, text: bytes) -> bytes:
-        words = text.split()
-        known, before = self.kept
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        if len(known) > WORDS_KEPT:
-            known, before = self.kept[:] = {}, known
-        missing = set(words).difference(known)
-        new = []
-        for word in missing:
-            if (ids := before.get(word)) is None:
-                new.append(word)
-            else:
-                known[word] = ids
-        found = self.tokenizer.encode_batch_fast(
-            [w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        known.update(zip(new, [pack_ids(e.ids) for e in found], strict=True))
-        return b"".join([known[w] for w in words])
+        return b"".join(list(map(self.words.__getitem__, text.split())))
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder for a tokenizer file."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def pack_ids(ids: list[int]) -> bytes:
@@ -97,7 +127,7 @@ def pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer or tokenizer_path())
+        encode = encoder(tokenizer or tokenizer_path())
         out: list[tuple] = []
         for doc, text in rows_of(batches):
             ids = encode(text or b"") + end

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import random
 import math
 import zlib
 from collections import Counter
@@ -493,3 +494,17 @@ def test_texts_of_one_id_never_share_a_key(spark, docs, rows, monkeypatch):
     plain = debruijn.text_key
     monkeypatch.setattr(debruijn, "text_key", lambda salt, *h: F.lit(3).cast("long").alias("text_key") if salt < 2 else plain(salt, *h))
     assert sorted(map(key, debruijn.dedup(frame).collect())) == want
+
+
+def test_kept_words_give_the_ids_of_whole_texts(monkeypatch):
+    """Odd words, special tokens, marks that compose, and forgotten words."""
+    draw = random.Random(12)
+    letters = "abzAZ09'\u2019.,;:!?\"-sStTre \u00e9\u00c9\u00fc\u00df\u0130\u03a3\u017f\u0301\u0308\u2026\u00ab\u00bd\u00b2\u200b\u65e5\u212a\ufb01\x00\x1c\x85"
+    texts = ["".join(draw.choice(letters) for _ in range(draw.randrange(30))) for _ in range(3000)]
+    texts += ["<|endoftext|>x <|STARTOFTEXT|> <|", "Don't I'LL ''s 'tis a's's \u00c9t\u00e9's 12.5%", "T\u0308 T \u0308", ""]
+    for kept in (3, 100_000):
+        monkeypatch.setattr(packing, "WORDS_KEPT", kept)
+        monkeypatch.setattr(packing, "PARTS_KEPT", kept)
+        encode = packing.Encoder(packing.tokenizer_path())
+        for text in texts:
+            assert encode(text.encode()) == packing.pack_ids(encode.tokenizer.encode(text, add_special_tokens=False).ids)
