@@ -42,7 +42,7 @@ PIECES = pa.schema([
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 #: Encoded words, and parts of words, kept by a worker: those of late and, of equal number, those before them.
-WORDS_KEPT, PARTS_KEPT = 150_000, 100_000
+WORDS_KEPT, PARTS_KEPT = 350_000, 250_000
 _encoders: dict[str, Encoder] = {}
 # Words of printable ASCII and accented Latin letters only: their case and parts are the same everywhere.
 _PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
