@@ -47,6 +47,8 @@ from siftworks.llm.chains import mixed
 from siftworks.llm.common import Scratch, raw_text, rows_of, staged
 from siftworks.llm.components import components
 from siftworks.llm.shingles import WordNumbers, shingle_set
+from siftworks.operators.attach import fits_broadcast
+from siftworks.staging import Staging
 
 SIZE = 5
 #: Frequent shingles known to all tasks (8 bytes each), and the largest light set.
@@ -152,6 +154,8 @@ def entries(texts: DataFrame, frequent: np.ndarray, boundary: int) -> DataFrame:
             reach.append(n - np.arange(len(rare), dtype=np.int32))
         if not out:
             return found[:0], np.zeros(0, np.int32)
+        if n > boundary:
+            return out[0], reach[0]  # distinct already
         every, first = np.unique(np.concatenate(out), return_index=True)
         return every, np.concatenate(reach)[first]
 
@@ -263,9 +267,10 @@ class Join:
         self.boundary = choose_boundary(mean)
         self.frequent = np.array([r["shingle"] for r in top][::-1], np.int64).view(np.uint64)
         # The first place stands for the class where its set is read again.
-        place = F.struct(F.coalesce("doc_id", "text_hash").alias("at"), "text_hash")
-        self.classes = staged(self.linked.groupBy("node").agg(F.min(place).alias("first"))
-                              .select("node", "first.at", "first.text_hash"), "classes")
+        places = self.linked.groupBy("node", F.coalesce("doc_id", "text_hash").alias("at"), "text_hash").agg(
+            F.count(F.lit(1)).alias("copies"))
+        self.classes = staged(places.groupBy("node").agg(F.min(F.struct("at", "text_hash", "copies")).alias("first"))
+                              .select("node", "first.*"), "classes")
         self.profiles = staged(profiles.groupBy("node").agg(F.first("profile").alias("profile")), "profiles")
 
     def lists(self) -> DataFrame:
@@ -295,22 +300,40 @@ class Join:
             kept = scratch(kept.select("first.token", "first.least"), "kept")
             return staged(lists.join(kept, "token").where("7L * reach >= 3L * (n + least)").drop("least"), "lists")
 
+    def _narrow(self, staging: Staging, frame: DataFrame, name: str) -> DataFrame:
+        """A written table, to be broadcast where its written size allows."""
+        written = staging.write(frame, name)
+        return F.broadcast(written.frame) if fits_broadcast(written) else written.frame
+
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that link: first by their profiles' bound, then by their sets."""
-        both = lambda pairs, table, node, value: (
-            pairs.join(table.select(F.col(node).alias("b"), F.col(value).alias("other")), "b")
-            .join(table.select(F.col(node).alias("a"), F.col(value).alias("own")), "a")
+        """The pairs (a, b) that link: first by their profiles' bound, then by their sets.
+
+        Profiles and texts are narrowed to the classes in question before they are joined.
+        """
+        both = lambda pairs, table, value: (
+            pairs.join(table.select(F.col("node").alias("b"), F.col(value).alias("other")), "b")
+            .join(table.select(F.col("node").alias("a"), F.col(value).alias("own")), "a")
             .select("a", "b", "own", "other"))
+        ends_of = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        staging = Staging(self.spark)
         with Scratch(self.spark) as scratch:
             pairs = scratch(pairs.distinct(), "pairs")
-            able = scratch(both(pairs, self.profiles, "node", "profile").mapInArrow(_able, "a long, b long").distinct(), "able")
-            ends = able.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-            ends = scratch(ends.join(self.classes, "node"), "ends")
-            texts = _texts(self.documents).withColumn("at", F.coalesce("doc_id", "text_hash"))
-            # Of rows equal in id and text, one.
-            texts = texts.join(ends, ["at", "text_hash"]).dropDuplicates(["at", "text_hash", "node"])
+            asked = self._narrow(staging, ends_of(pairs), "asked")
+            profiles = scratch(self.profiles.join(asked, "node", "left_semi"), "profiles")
+            able = scratch(both(pairs, profiles, "profile").mapInArrow(_able, "a long, b long").distinct(), "able")
+            ends = scratch(ends_of(able).join(self.classes, "node"), "ends")
+            several = not ends.where("copies > 1").isEmpty()
+            texts = _texts(self.documents).withColumn("at", F.coalesce("doc_id", "text_hash")).join(
+                self._narrow(staging, ends, "places"), ["at", "text_hash"]).select("node", "at", "text_hash", "copies", "text")
+            if several:
+                # Of rows equal in id and text, one; other rows are not sorted for it.
+                texts = scratch(texts, "texts")
+                texts = texts.where("copies = 1").union(
+                    texts.where("copies > 1").dropDuplicates(["at", "text_hash", "node"]))
             sets = scratch(texts.select("node", "text").mapInArrow(_sets, "node long, found binary"), "sets")
-            return staged(both(able, sets, "node", "found").mapInArrow(_verify, "a long, b long"), "found")
+            found = staged(both(able, sets, "found").mapInArrow(_verify, "a long, b long"), "found")
+        staging.drop()
+        return found
 
     def id_links(self) -> DataFrame:
         """(a, b): a class of every id that has several, and each other one."""

@@ -10,24 +10,21 @@ from siftworks.llm.chains import mixed
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
-class WordNumbers:
-    """A 64-bit hash of every word; keeps the frequent ones at hand."""
+class WordNumbers(dict):
+    """A 64-bit hash of every word; keeps those of late at hand."""
 
-    def __init__(self, kept: int = 500_000) -> None:
-        self.known: dict[bytes, int] = {}
+    def __init__(self, kept: int = 200_000) -> None:
+        super().__init__()
         self.kept = kept
 
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > self.kept:
+            self.clear()
+        self[word] = found = xxhash.xxh3_64_intdigest(word)
+        return found
+
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        try:
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            pass
-        if len(known) > self.kept:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def runs(numbers: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
