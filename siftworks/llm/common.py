@@ -58,10 +58,15 @@ class Scratch:
         self._staging.drop()
 
 
+#: Rows of a batch that are Python objects at once.
+SLICE = 512
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """The rows of Arrow batches as tuples, a batch at a time."""
+    """The rows of Arrow batches as tuples, a slice of a batch at a time."""
     for batch in batches:
-        yield from zip(*[column.to_pylist() for column in batch.columns], strict=True)
+        for at in range(0, batch.num_rows, SLICE):
+            yield from zip(*[column.to_pylist() for column in batch.slice(at, SLICE).columns], strict=True)
 
 
 def batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:

@@ -54,6 +54,8 @@ SIZE = 5
 #: Frequent shingles known to all tasks (8 bytes each), and the largest light set.
 FREQUENT, LARGEST_LIGHT = 100_000, 12
 PIVOTS = (1, 4, 16, 64)
+#: Shingles of which a task looks for repeated ones at once.
+MEASURED_AT_ONCE = 2_000_000
 #: Cells of a set's profile: how many shingles fall into each, by their top bits.
 CELL_BITS = 7
 
@@ -96,28 +98,35 @@ def node_of(found: np.ndarray) -> int:
 def _measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document (size, class of its set), and shingles several of a batch share."""
     numbers = WordNumbers()
-    for some in batches:
-        docs, texts, sizes, nodes, sets, profiles = [], [], [], [], [], []
-        for doc, text_hash, text in rows_of([some]):
-            found = shingle_set(numbers((text or b"").lower().split()), SIZE)
-            docs.append(doc)
-            texts.append(text_hash)
-            sizes.append(len(found))
-            nodes.append(node_of(found))
-            sets.append(found)
-            profiles.append(profile(found))
-        shared, counts = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
-        shared, counts = shared[counts > 2], counts[counts > 2]
-        none = [None] * len(docs)
-        yield pa.RecordBatch.from_pydict({
-            "doc_id": pa.array([*docs, *[None] * len(shared)], pa.int64()),
-            "text_hash": pa.array([*texts, *[None] * len(shared)], pa.int64()),
-            "n": pa.array([*sizes, *[None] * len(shared)], pa.int64()),
-            "node": pa.array([*nodes, *[None] * len(shared)], pa.int64()),
-            "profile": pa.array([*profiles, *[None] * len(shared)], pa.binary()),
-            "shingle": pa.array([*none, *shared.view(np.int64).tolist()], pa.int64()),
-            "docs": pa.array([*none, *counts.tolist()], pa.int64()),
-        })
+    held: list[tuple] = []
+    sets: list[np.ndarray] = []
+    count = 0
+    for doc, text_hash, text in rows_of(batches):
+        found = shingle_set(numbers((text or b"").lower().split()), SIZE)
+        held.append((doc, text_hash, len(found), node_of(found), profile(found)))
+        sets.append(found)
+        count += len(found)
+        if count > MEASURED_AT_ONCE:
+            yield _measured_batch(held, sets)
+            held, sets, count = [], [], 0
+    if held:
+        yield _measured_batch(held, sets)
+
+
+def _measured_batch(held: list[tuple], sets: list[np.ndarray]) -> pa.RecordBatch:
+    shared, counts = np.unique(np.concatenate(sets), return_counts=True)
+    shared, counts = shared[counts > 2], counts[counts > 2]
+    docs, texts, sizes, nodes, profiles = map(list, zip(*held, strict=True))
+    none, some = [None] * len(held), [None] * len(shared)
+    return pa.RecordBatch.from_pydict({
+        "doc_id": pa.array([*docs, *some], pa.int64()),
+        "text_hash": pa.array([*texts, *some], pa.int64()),
+        "n": pa.array([*sizes, *some], pa.int64()),
+        "node": pa.array([*nodes, *some], pa.int64()),
+        "profile": pa.array([*profiles, *some], pa.binary()),
+        "shingle": pa.array([*none, *shared.view(np.int64).tolist()], pa.int64()),
+        "docs": pa.array([*none, *counts.tolist()], pa.int64()),
+    })
 
 
 def _texts(documents: DataFrame) -> DataFrame:
