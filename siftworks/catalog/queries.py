@@ -175,8 +175,11 @@ def dedup_documents_text(spark, sf_dir):
     """Documents whose text and language repeat, each with the copy that is kept."""
     rows = read_table(spark, f"{sf_dir}/documents.parquet", ["doc_id", "text", "lang"])
     key = identity.canonical_key({"text": F.col("text"), "lang": F.col("lang")})
-    keyed = rows.withColumn("key_hash", identity.sha256(key))
-    index = duplicate_index(keyed, "key_hash", key, [F.col("doc_id")], "doc_id", Staging(spark))
+    staging = Staging(spark)
+    # Written once and narrow, so that texts are read and digested once.
+    keyed = staging.write(rows.select(
+        "doc_id", identity.sha256(key).alias("key_hash"), F.xxhash64(key).alias("key_mark")), "keyed").frame
+    index = duplicate_index(keyed, "key_hash", F.col("key_mark"), [F.col("doc_id")], "doc_id", staging)
     marked = mark_duplicates(keyed.select("doc_id", "key_hash"), index, "key_hash", "doc_id")
     return marked.where(F.col("_reference_source_record_id").isNotNull()).select(
         "doc_id", F.col("_reference_source_record_id").alias("kept_doc_id")

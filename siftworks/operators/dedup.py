@@ -26,26 +26,27 @@ def duplicate_index(
     """Staged table of the repeated keys: ``key_hash``, ``_sw_n`` and ``_sw_winner``.
 
     ``order`` lists ascending sort expressions that make a total order; the
-    first row wins. Copies are combined before the shuffle, so a key holding
-    most of the rows costs one row per map task. A second, unrelated hash of the
-    key shows when two keys share ``key_hash``, without shuffling the keys.
+    first row wins. Keys are counted first, in a hash table of numbers: nearly all
+    occur once and are done. Only rows of repeated keys are ranked. Copies are
+    combined before each shuffle, so a key holding most of the rows costs one row
+    per map task. A second, unrelated hash of the key shows when two keys share
+    ``key_hash``, without shuffling the keys.
     """
-    witness = F.xxhash64(key)
-    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.col(row_id).alias("id"))
-    index = (
-        rows.withColumn("_witness", witness)
-        .groupBy(key_hash)
-        .agg(
-            F.count(F.lit(1)).alias("_sw_n"),
-            F.min(rank)["id"].alias("_sw_winner"),
-            (F.min("_witness") != F.max("_witness")).alias("_sw_collides"),
-        )
-        .where(F.col("_sw_n") > 1)
+    witness = F.xxhash64(key).alias("_witness")
+    counted = rows.select(key_hash, witness).groupBy(key_hash).agg(
+        F.count(F.lit(1)).alias("_sw_n"),
+        F.min("_witness").alias("_sw_low"), F.max("_witness").alias("_sw_high"),
     )
-    staged = staging.write(index, "duplicates", collisions=F.count_if("_sw_collides"))
-    if staged.metrics["collisions"]:
+    repeated = staging.write(
+        counted.where(F.col("_sw_n") > 1), "repeated", collisions=F.count_if(F.col("_sw_low") != F.col("_sw_high")))
+    if repeated.metrics["collisions"]:
         raise HashCollision("Different composite keys share a SHA-256 digest")
-    return staged
+    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.col(row_id).alias("id")).alias("_sw_rank")
+    narrow = rows.select(key_hash, rank, F.xxhash64(row_id).alias("_sw_spread"))
+    lookup = repeated.frame.select(key_hash, "_sw_n")
+    copies = attach(narrow, lookup, repeated, [key_hash], spread=["_sw_spread"]).where(F.col("_sw_n").isNotNull())
+    return staging.write(copies.groupBy(key_hash).agg(
+        F.max("_sw_n").alias("_sw_n"), F.min("_sw_rank")["id"].alias("_sw_winner")), "duplicates")
 
 
 def mark_duplicates(

@@ -60,19 +60,15 @@ class Reference:
     def report(self, config: JobConfig, table: str) -> dict:
         """The published description; ``table`` is where every value of every domain lies.
 
-        A domain too large for a document is given by its size and that place.
+        Its form is the same for domains of any size.
         """
+        # The names of the report's entries.
         return {
             "reference_month": config.reference_month,
             "reference_rows": self.rows,
             "date_format": "YYYY-MM",
             "date_scope": [config.start_month, config.end_month],
-            "domain_sizes": self.sizes,
-            "domain_values": table,
-            "domains": {
-                c: self.literals.get(c, {"size": n, "values_in": table})
-                for c, n in self.sizes.items()
-            },
+            "domains": {c: {"size": n, "values_in": table} for c, n in self.sizes.items()},
         }
 
 

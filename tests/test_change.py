@@ -225,8 +225,13 @@ def test_a_drifted_run_gets_no_manifest(spark, tmp_path):
     raw, out = tmp_path / "raw", tmp_path / "out"
     raw.mkdir()
     rows = [{**BASE, "block": str(i), "flat_type": "4 ROOM" if i % 2 else "5 ROOM"} for i in range(40)]
-    write(raw / "a.csv", rows)
-    first = job.run_job(spark, raw, out)
+    approvals = tmp_path / "approvals.csv"
+    approvals.write_text("kind,column,value,valid_from,valid_to,approver\nadd,town,CEDAR RISE,2013-01,,desk\n")
+    write(raw / "a.csv", [*rows, {**BASE, "month": "2013-06", "town": "cedar rise"}])
+    first = job.run_job(spark, raw, out, approvals=str(approvals))
+    assert first["counts"]["cleaned_rows"] == 41 and all(c["passed"] for c in first["checks"])
+    versions = spark.read.option("header", True).csv(f"{first['run']}/reports/reference_versions")
+    assert [tuple(r) for r in versions.where("version > 0").select("value", "approver").collect()] == [("CEDAR RISE", "desk")]
     assert job.marker_checks(spark, str(out)) == [("manifest_names_whole_run", 5, 0)]
     write(raw / "a.csv", [{**r, "flat_type": "4 ROOM" if i > 2 else "5 ROOM"} for i, r in enumerate(rows)])
     with pytest.raises(baseline.QualityGate, match="shift:flat_type"):

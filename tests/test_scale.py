@@ -174,7 +174,7 @@ def test_domains_of_any_size_are_published(spark, frame, staging, tmp_path):
     assert written.where("column = 'town'").select("value").distinct().count() == 6000
     told = known.report(config, "reports/values")
     assert told["domains"]["town"] == {"size": 6000, "values_in": "reports/values"}
-    assert told["domains"]["flat_type"] == ["4 ROOM"]
+    assert told["domains"]["flat_type"] == {"size": 1, "values_in": "reports/values"}
 
 
 @pytest.mark.parametrize("layout", [1, 7, 64])
