@@ -228,16 +228,20 @@ def label(
 
 
 def keep_known(documents: DataFrame, model: Model, switch: float = 6.0, text_col: str = "text") -> DataFrame:
-    """The rows whose text is in some language, unchanged."""
+    """The rows whose text is in some language, unchanged, whatever the names of their columns."""
+    names = documents.columns
+    at = names.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(model, switch)
         for batch in batches:
             known = np.zeros(len(batch), bool)
-            text = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary())
+            text = batch.column(at).cast(pa.binary())
             numbered = pa.RecordBatch.from_arrays([pa.array(range(len(batch)), pa.int64()), text], names=["row", "text"])
             for keys, answers in labeller(numbered):
                 known[keys] = [lang != UNKNOWN for lang, _, _ in answers]
             yield batch.filter(pa.array(known))
 
-    return documents.mapInArrow(run, documents.schema)
+    # Columns are numbered on the way, since a name may hold dots.
+    numbered_rows = documents.toDF(*[f"c{i}" for i in range(len(names))])
+    return numbered_rows.mapInArrow(run, numbered_rows.schema).toDF(*names)

@@ -4,9 +4,9 @@ A run is ``min_run`` or more consecutive lines. Every window of ``min_run`` line
 offers its smallest line hash (the last of equal ones) as a fingerprint, so two
 equal windows always offer equal fingerprints at equal places. Fingerprints are
 counted first: windows whose fingerprint occurs once in the table are done. The
-others extend the match to both sides of the fingerprint by comparing whole windows
-(128 bits of hash) with the first place of the same window; adjacent matches merge
-into maximal runs. Each place is compared with one first place only, never with all
+others are compared as whole windows (128 bits of hash) with the first place of the same
+window; adjacent matches merge into maximal runs. No fingerprint is selected from several
+windows, and no match is extended from one: that would save rows, and find the same runs. Each place is compared with one first place only, never with all
 others, so a line in every document costs one row per place.
 
 A window is repeated if the same lines start at an earlier place: smaller id (null

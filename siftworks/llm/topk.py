@@ -1,9 +1,10 @@
-"""Exact top-k inner products by MaxScore over shards.
+"""Exact top-k inner products with the bounds of MaxScore, over shards.
 
 Vectors are made whole numbers, ``floor(scale * x)``. A component is a term; a shard
 keeps a posting row per term with its smallest and largest value, which bound what the
 term can add to any score of a query. Terms are taken by falling spread of their
-bounds. The essential ones are traversed for every row; then the k-th best sum of what
+bounds. The first ``STEP`` are traversed for every row (no split of terms is made by whether
+the sum of their bounds could pass the threshold); then the k-th best sum of what
 is surely reached is a threshold, and only rows whose sum plus the bounds of the other
 terms can still reach it are probed further, a block of terms at a time. Each shard
 returns its exact k best, which are merged.

@@ -508,3 +508,11 @@ def test_kept_words_give_the_ids_of_whole_texts(monkeypatch):
         encode = packing.Encoder(packing.tokenizer_path())
         for text in texts:
             assert encode(text.encode()) == packing.pack_ids(encode.tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+def test_odd_column_names_pass_through_language_id(spark, docs, tmp_path):
+    odd = docs.withColumn("a.b", F.lit(1)).withColumn("c`d", F.lit("x")).withColumn("c0", F.lit(2))
+    kept = corpus_pipeline.language_id(spark, odd, str(tmp_path))
+    plain = corpus_pipeline.language_id(spark, docs, str(tmp_path))
+    assert kept.columns == odd.columns and kept.count() == plain.count() > 0
+    assert kept.limit(0).count() == 0
