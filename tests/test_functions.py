@@ -14,36 +14,36 @@ from siftworks.functions.numbers import canonical_number
 
 
 def test_money_is_exact_and_strict(evaluate):
-    good = {
-        "230000.01": 23_000_001, "230000": 23_000_000, "+5": 500, ".5": 50, "5.": 500,
-        "1e3": 100_000, "2.30E5": 23_000_000, "0.01": 1, "10.5000000000000000000000": 1050,
-        "92233720368547758.07": 2**63 - 1,
-    }
-    bad = [
-        "0", "-1", "NaN", "Infinity", "230000.001", "abc", "", "1e-3", "60d", "1,000", ".", "e5",
-        "92233720368547758.08", "0.0", "1 000", "5\n", None,
-    ]
-    got = evaluate(numbers.money_cents, [*good, *bad])
-    assert got[: len(good)] == list(good.values())
-    assert got[len(good):] == [None] * len(bad)
+    # Whole cents in every notation: the decimals decide, not a float.
+    cents = [1, 7, 99, 100, 101, 4_070, 999_999, 31_250_000, 700_000_000_019, 2**63 - 1]
+    plain = [f"{c // 100}.{c % 100:02d}" for c in cents]
+    padded = [f"+00{p}0000000000000000000000" for p in plain]
+    assert evaluate(numbers.money_cents, plain + padded) == cents * 2
+    notations = {"4e2": 40_000, "7.25E1": 7_250, ".25": 25, "8.": 800, "12e-1": 120}
+    assert evaluate(numbers.money_cents, list(notations)) == list(notations.values())
+    broken = [f"{p}5" for p in plain[:8]] + ["3.141", "5e-3", "1e-2000", "0.000", "-0", "-8.50"]
+    odd = ["92233720368547758.08", "12 50", "12,50", "12.5.0", "$12", "12.50 ", "1_000", "١", ".", "E2", "", None]
+    assert evaluate(numbers.money_cents, broken + odd) == [None] * len(broken + odd)
 
 
 def test_supplied_terms(evaluate):
-    cases = {
-        "70": 840, "61 years 04 months": 736, "61 years 12 months": None, "100": None,
-        "99": 1188, " 1 Year ": 12, "1 year 1 month": 13, "99 years 1 month": None, "0": 0,
-        "61 years 04 months\n": 736, "61years": None, "1000": None, "": None, None: None,
-    }
-    got = evaluate(lambda c: terms.supplied_months(c, 1188), list(cases))
-    assert got == list(cases.values())
+    parse = lambda c: terms.supplied_months(c, 1188)
+    years = [0, 1, 9, 42, 98, 99]
+    for form in ("{}", "{} years", "{} year", "  {} YEARS\t"):
+        assert evaluate(parse, [form.format(y) for y in years]) == [12 * y for y in years]
+    # Months are 0 to 11, with or without a leading zero, up to the longest term.
+    assert evaluate(parse, [f"42 years {m:02d} months" for m in range(14)]) == [504 + m for m in range(12)] + [None] * 2
+    assert evaluate(parse, ["98 years 11 months", "99 years 0 month", "99 years 2 months", "101", "100 years"]) == [
+        1187, 1188, None, None, None]
+    odd = ["42.5", "42 yrs", "42years", "years 42", "4200", "42 years 3", "42 years, 3 months", "-42", "", None]
+    assert evaluate(parse, odd) == [None] * len(odd)
 
 
 def test_months(evaluate):
-    good = ["2012-01", "2016-12", "1677-10", "2262-04"]
-    bad = [
-        "2012-13", "2012-1", "2012/01", "2012-01-01", "not a date", "", "2012-01\n", "1677-09",
-        "2262-05", "２０１２-01", None,
-    ]
+    good = [f"{y}-{m:02d}" for y in (1678, 1900, 2015, 2261) for m in range(1, 13)] + ["1677-10", "2262-04"]
+    bad = [f"2015-{m}" for m in ("00", "13", "7", "007", "1 ", "Q1")]
+    bad += ["15-07", "201507", "2015_07", "07-2015", "2015-07-", " 2015-07", "2015-07\n", "1677-09", "2262-05"]
+    bad += ["２０１５-07", None]
     assert evaluate(periods.is_month, good + bad) == [True] * len(good) + [False] * len(bad)
 
 
