@@ -75,6 +75,15 @@ def test_mix_meets_targets(docs, rows):
         assert abs(sum(r.taken for r in own) - targets[source]) <= max(r.size for r in own)
 
 
+def test_sources_below_their_caps_share_one_level(spark):
+    """a is capped at 20; what it leaves, 130, goes to b and c by 2 to 1."""
+    sizes = {"a": 10, "b": 45, "c": 45}
+    frame = spark.createDataFrame([(n, "x " * size, s) for n, (s, size) in enumerate(sizes.items())],
+                                  "doc_id long, text string, source string")
+    found = {r.source: (r.size, r.source_size, r.target) for r in mixing.mix(frame).collect()}
+    assert found == {s: (n, n, pytest.approx(t)) for (s, n), t in zip(sizes.items(), (20, 260 / 3, 130 / 3))}
+
+
 def test_mix_repeats_rows_with_their_columns(docs, rows):
     repeated = mixing.repeat(docs)
     assert repeated.columns == docs.columns
