@@ -120,3 +120,14 @@ def test_canonical_number_is_always_plain(evaluate):
     values = [1e19, -1.5e22, 1e-13, 1.25e-7, 12345678.901, 60.0, 0.0, -0.001, 1e300]
     found = evaluate(canonical_number, values, "double")
     assert found == [f"{Decimal(repr(v)).normalize():f}" if v else "0" for v in values]
+
+
+def test_plain_numbers_are_spelled_without_patterns(spark):
+    """Patterns run only on numbers in scientific form; before, several ran on every number."""
+    spelled = numbers.canonical_number(F.col("x"))
+    rows = spark.createDataFrame([(x,) for x in (60.0, -60.0, 0.5, -0.0, 9999999.0, 1e7, 1.25e-4, None)], "x double")
+    assert [r[0] for r in rows.select(spelled).collect()] == [
+        "60", "-60", "0.5", "0", "9999999", "10000000", "0.000125", None]
+    guards = [spelled._jc.toString().find(mark) for mark in ("endswith", "contains", "REGEXP_EXTRACT", "regexp_extract")]
+    first = min(at for at in guards[2:] if at >= 0)
+    assert 0 <= guards[0] < first and 0 <= guards[1] < first
