@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from siftworks.functions.text import strip
 
-# The two written forms of a supplied term.
-YEARS_FORM = r"^([0-9]{1,3})\z"
-YEARS_MONTHS_FORM = r"^([0-9]{1,3}) years?(?: ([0-9]{1,2}) months?)?\z"
+# Fixed value: a supplied term, in years or in years and up to 11 months.
+TERM_FORM = r"^([0-9]{1,3})(?: years?(?: (0?[0-9]|1[01]) months?)?)?\z"
 
 # How a supplied term compares with the computed one.
 NOTE_ABSENT = "source value absent"
@@ -35,13 +34,15 @@ def years_and_months(months: Column) -> Column:
 def supplied_months(text: Column, longest: int) -> Column:
     """Months in a supplied term: whole years, or years with optional months."""
     words = F.lower(strip(text))
-    years = F.regexp_extract(words, r"^([0-9]{1,3})", 1).try_cast("bigint")
-    extra = F.regexp_extract(words, YEARS_MONTHS_FORM, 2)
-    extra_months = F.coalesce(extra.try_cast("bigint"), F.lit(0))
-    months = F.when(words.rlike(YEARS_FORM), years * 12).when(
-        words.rlike(YEARS_MONTHS_FORM) & (extra_months <= 11), years * 12 + extra_months
-    )
-    return F.when(months <= longest, months)
+
+    def number(group: int) -> Column:
+        # The leading zero stands for an absent number: a cast that fails costs an exception.
+        return F.concat(F.lit("0"), F.regexp_extract(words, TERM_FORM, group)).cast("bigint")
+
+    # Too long a term becomes null without being read a second time.
+    too_long = F.lit(longest + 1).cast("bigint")
+    months = F.nullif(F.least(number(1) * 12 + number(2), too_long), too_long)
+    return F.when(words.rlike(TERM_FORM), months)
 
 
 def comparison_note(difference: Column) -> Column:
