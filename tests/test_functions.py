@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from siftworks.config import JobConfig
 from siftworks.functions import identity, numbers, periods, terms, text
 from siftworks.functions.numbers import canonical_number
+from siftworks.presets.sales_feed import band_text
 
 
 def test_money_is_exact_and_strict(evaluate):
@@ -39,6 +40,15 @@ def test_supplied_terms(evaluate):
     assert evaluate(parse, odd) == [None] * len(odd)
 
 
+def test_bands_of_the_feed_are_padded_not_formatted(spark):
+    keys = spark.range(-25, 25).unionByName(spark.createDataFrame([(None,)], "id bigint"))
+    low = 3 * (F.col("id") % 12) + 1
+    bands = keys.select("id", band_text(F.col("id")).alias("b"))
+    assert "format_string" not in bands._jdf.queryExecution().optimizedPlan().toString()
+    formatted = keys.select("id", F.format_string("%02d TO %02d", low, low + 2).alias("b"))
+    assert {(r.id, r.b) for r in bands.collect()} == {(r.id, r.b) for r in formatted.collect()}
+
+
 def test_supplied_terms_are_read_without_failing_casts(spark):
     # A cast that fails makes and catches an exception: absent months were one in most rows.
     rows = spark.createDataFrame([("61",), ("",), ("61 years",), ("about 60 years",), (None,)], "t string")
