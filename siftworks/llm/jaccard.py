@@ -54,6 +54,8 @@ SIZE = 5
 #: Frequent shingles known to all tasks (8 bytes each), and the largest light set.
 FREQUENT, LARGEST_LIGHT = 100_000, 12
 PIVOTS = (1, 4, 16, 64)
+#: Classes that a task remembers, so as not to list their copies again.
+SEEN = 1 << 16
 #: Shingles of which a task looks for repeated ones at once.
 MEASURED_AT_ONCE = 2_000_000
 #: Cells of a set's profile: how many shingles fall into each, by their top bits.
@@ -135,7 +137,11 @@ def _texts(documents: DataFrame) -> DataFrame:
 
 
 def entries(texts: DataFrame, frequent: np.ndarray, boundary: int) -> DataFrame:
-    """(token, node, n, reach): subsets of light sets and prefix shingles of the others."""
+    """(token, node, n, reach, own): subsets of light sets and prefix shingles of the others.
+
+    ``own`` is the node where a token may be in very many classes (subsets and frequent
+    shingles), else null.
+    """
     ranks = np.argsort(frequent, kind="stable")
     ordered = frequent[ranks]
     maybe = np.zeros(1 << 22, bool)  # low bits of frequent shingles: few others need the search
@@ -143,12 +149,13 @@ def entries(texts: DataFrame, frequent: np.ndarray, boundary: int) -> DataFrame:
     picks = {(n, o): np.array(list(combinations(range(n), o)), np.int64)
              for n in range(1, boundary + 1) for o in subset_sizes(n, boundary)}
 
-    def tokens(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        n, out, reach = len(found), [], []
+    def tokens(found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n, out, reach, hot = len(found), [], [], []
         if n <= boundary:
             for o in subset_sizes(n, boundary):
                 out.append(mixed(mixed(found[picks[n, o]]).sum(axis=1, dtype=np.uint64) + np.uint64(o)))
                 reach.append(np.full(len(out[-1]), n, np.int32))
+                hot.append(np.ones(len(out[-1]), bool))
         if n > boundary or 4 * n >= 3 * (boundary + 1):
             length = n // 4 + 1
             often = maybe[(found & np.uint64((1 << 22) - 1)).astype(np.int64)]
@@ -156,27 +163,31 @@ def entries(texts: DataFrame, frequent: np.ndarray, boundary: int) -> DataFrame:
             at = np.minimum(np.searchsorted(ordered, likely), max(len(ordered) - 1, 0))
             often[often] = ordered[at] == likely if len(ordered) else False
             rare = found[~often][:length]
+            hot.append(np.arange(length) >= len(rare))
             if len(rare) < length:
                 rest = found[often][np.argsort(ranks[np.searchsorted(ordered, found[often])], kind="stable")]
                 rare = np.concatenate([rare, rest[:length - len(rare)]])
             out.append(rare)
             reach.append(n - np.arange(len(rare), dtype=np.int32))
         if not out:
-            return found[:0], np.zeros(0, np.int32)
+            return found[:0], np.zeros(0, np.int32), np.zeros(0, bool)
         if n > boundary:
-            return out[0], reach[0]  # distinct already
+            return out[0], reach[0], hot[0]  # distinct already
         every, first = np.unique(np.concatenate(out), return_index=True)
-        return every, np.concatenate(reach)[first]
+        return every, np.concatenate(reach)[first], np.concatenate(hot)[first]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = WordNumbers()
+        numbers, seen = WordNumbers(), set()
         for some in batches:
             held, count = [], 0
             for text, in rows_of([some]):
                 found = shingle_set(numbers((text or b"").lower().split()), SIZE)
-                if not len(found):
+                if not len(found) or (node := node_of(found)) in seen:
                     continue
-                held.append((node_of(found), len(found), *tokens(found)))
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(node)
+                held.append((node, len(found), *tokens(found)))
                 count += len(held[-1][2])
                 if count > 500_000:
                     yield _entry_batch(held)
@@ -184,36 +195,17 @@ def entries(texts: DataFrame, frequent: np.ndarray, boundary: int) -> DataFrame:
             if held:
                 yield _entry_batch(held)
 
-    return texts.select("text").mapInArrow(run, "token long, node long, n int, reach int")
+    return texts.select("text").mapInArrow(run, "token long, node long, n int, reach int, own long")
 
 
 def _entry_batch(held: list[tuple]) -> pa.RecordBatch:
     sizes = [len(h[2]) for h in held]
     repeat = lambda i, kind: pa.array(np.repeat(np.array([h[i] for h in held], kind), sizes))
+    nodes, cold = repeat(0, np.int64), ~np.concatenate([h[4] for h in held])
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([h[2] for h in held]).view(np.int64)), repeat(0, np.int64), repeat(1, np.int32),
-         pa.array(np.concatenate([h[3] for h in held]))],
-        names=["token", "node", "n", "reach"])
-
-
-def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    numbers = WordNumbers()
-    for some in batches:
-        nodes, sets, held = [], [], 0
-        for node, text in rows_of([some]):
-            nodes.append(node)
-            sets.append(shingle_set(numbers((text or b"").lower().split()), SIZE).tobytes())
-            held += len(sets[-1])
-            if held > 8 << 20:
-                yield _set_batch(nodes, sets)
-                nodes, sets, held = [], [], 0
-        if nodes:
-            yield _set_batch(nodes, sets)
-
-
-def _set_batch(nodes: list[int], sets: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "found"])
+        [pa.array(np.concatenate([h[2] for h in held]).view(np.int64)), nodes, repeat(1, np.int32),
+         pa.array(np.concatenate([h[3] for h in held])), pa.array(nodes.to_numpy(), mask=cold)],
+        names=["token", "node", "n", "reach", "own"])
 
 
 def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
@@ -242,11 +234,14 @@ def _able(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sets link."""
+    """Pairs whose sets link, from a text of each; rows of one ``a`` come together."""
+    numbers, last, x = WordNumbers(), None, None
     for some in batches:
         a, b = [], []
         for left, right, own, other in rows_of([some]):
-            x, y = np.frombuffer(own, np.uint64), np.frombuffer(other, np.uint64)
+            if left != last:
+                last, x = left, shingle_set(numbers(own.lower().split()), SIZE)
+            y = shingle_set(numbers(other.lower().split()), SIZE)
             at = np.searchsorted(x, y)
             if _links(int((x[np.minimum(at, len(x) - 1)] == y).sum()), len(x), len(y)):
                 a.append(left)
@@ -285,13 +280,14 @@ class Join:
     def lists(self) -> DataFrame:
         """(token, node, n, reach) of tokens that several classes have."""
         with Scratch(self.spark) as scratch:
-            every = scratch(entries(_texts(self.documents.where(self.part)), self.frequent, self.boundary), "entries")
-            several = every.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")
-            # Written first: the join then reads two plain shuffles, of which hot parts can be split.
-            several = scratch(several.select("token"), "several")
-            shared = scratch(every.join(several, "token"), "shared")
-            own = shared.groupBy("token", "node").agg(F.max("n").alias("n"), F.max("reach").alias("reach"))
-            return self._distinct_lists(scratch(own, "lists"))
+            every = entries(_texts(self.documents.where(self.part)), self.frequent, self.boundary)
+            # One shuffle serves both steps. Tokens that may be hot are spread by their class
+            # and stay; of these, lists of one class go with the distinct lists.
+            of_token = Window.partitionBy("token", "own")
+            ends = every.withColumns({"a": F.min("node").over(of_token), "b": F.max("node").over(of_token)})
+            shared = ends.where("own IS NOT NULL OR a < b").groupBy("token", "own", "node").agg(
+                F.max("n").alias("n"), F.max("reach").alias("reach"))
+            return self._distinct_lists(scratch(shared.drop("own"), "lists"))
 
     def _distinct_lists(self, lists: DataFrame) -> DataFrame:
         """One of the lists that have the same members (128 bits of sums), of two or more.
@@ -317,7 +313,8 @@ class Join:
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link: first by their profiles' bound, then by their sets.
 
-        Profiles and texts are narrowed to the classes in question before they are joined.
+        Profiles and texts are narrowed to the classes in question before they are joined. A
+        text is shuffled, not its set, which is several times larger.
         """
         both = lambda pairs, table, value: (
             pairs.join(table.select(F.col("node").alias("b"), F.col(value).alias("other")), "b")
@@ -339,8 +336,8 @@ class Join:
                 texts = scratch(texts, "texts")
                 texts = texts.where("copies = 1").union(
                     texts.where("copies > 1").dropDuplicates(["at", "text_hash", "node"]))
-            sets = scratch(texts.select("node", "text").mapInArrow(_sets, "node long, found binary"), "sets")
-            found = staged(both(able, sets, "found").mapInArrow(_verify, "a long, b long"), "found")
+            asked = scratch(texts.select("node", "text"), "asked_texts")
+            found = staged(both(able, asked, "text").mapInArrow(_verify, "a long, b long"), "found")
         staging.drop()
         return found
 

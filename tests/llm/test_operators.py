@@ -241,6 +241,35 @@ def test_jaccard_finds_links_beyond_pivots(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == label
 
 
+def test_jaccard_writes_no_entry_of_one_class_and_no_sets(spark, monkeypatch):
+    """What stands on disk at once follows what sets share and the texts, not all shingles."""
+    texts = [" ".join(f"w{i}x{k}" for k in range(200)) for i in range(30)]
+    made = [(i, text) for i, text in enumerate([*texts, texts[0], texts[1] + " end"])]
+    wide = jaccard.Join(spark.createDataFrame(made, "doc_id long, text string"))
+    written, held = [], []
+
+    def scratch(self, frame, name, write=jaccard.Scratch.__call__):
+        table = write(self, frame, name)
+        written.append((name, table.count()))
+        held.extend(max(map(len, row), default=0) for row in table.select(
+            *[c for c, kind in table.dtypes if kind == "binary" and name != "profiles"]).collect())
+        return table
+
+    monkeypatch.setattr(jaccard.Scratch, "__call__", scratch)
+    label = {r.node: r.label for r in wide.labels().collect()}
+    assert len(label) == 2 and len(set(label.values())) == 1
+    assert max(rows for _, rows in written) <= 2 * 50  # 31 classes have some 50 entries each
+    assert max(held) <= max(len(text) for _, text in made)
+
+
+def test_jaccard_lists_a_class_once_a_task(spark):
+    texts = spark.createDataFrame([("a b c d e f g h",)] * 50 + [("short text",)] * 50, "text string").coalesce(1)
+    none = np.zeros(0, np.uint64)
+    rows = jaccard.entries(texts.selectExpr("cast(text as binary) AS text"), none, 1).collect()
+    assert len({(r.token, r.node) for r in rows}) == len(rows) == 3
+    assert sorted((r.n, r.own == r.node if r.own else None) for r in rows) == [(1, True), (4, None), (4, None)]
+
+
 def test_jaccard_of_an_id_with_a_short_and_a_containing_text(spark):
     long = [sentence(100 + i, 240).split() for i in range(12)]
     # The long text has the whole short one, whose entries the id's long text mostly has too.
