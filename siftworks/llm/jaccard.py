@@ -208,6 +208,39 @@ def _entry_batch(held: list[tuple]) -> pa.RecordBatch:
         names=["token", "node", "n", "reach", "own"])
 
 
+def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    numbers = WordNumbers()
+    for some in batches:
+        nodes, sets, held = [], [], 0
+        for node, text in rows_of([some]):
+            nodes.append(node)
+            sets.append(shingle_set(numbers((text or b"").lower().split()), SIZE))
+            held += sets[-1].nbytes
+            if held > 8 << 20:
+                yield _set_batch(nodes, sets)
+                nodes, sets, held = [], [], 0
+        if nodes:
+            yield _set_batch(nodes, sets)
+
+
+def _set_batch(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(nodes, pa.int64()), pa.array([found.tobytes() for found in sets], pa.binary()),
+         pa.array([marks_of(found).tobytes() for found in sets], pa.binary())], names=["node", "found", "marks"])
+
+
+def marks_of(found: np.ndarray) -> np.ndarray:
+    """The top 16 bits of every shingle, ascending. Two sets share at most what their marks do."""
+    return (found >> np.uint64(48)).astype("<u2")
+
+
+def shared_marks(x: np.ndarray, y: np.ndarray) -> int:
+    """How many marks two sets share; one that a set has several times counts as often."""
+    numbered = lambda m: m.astype(np.int64) << 40 | (np.arange(len(m)) - np.searchsorted(m, m))
+    x, y = numbered(x), numbered(y)
+    return int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+
+
 def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -233,15 +266,24 @@ def _able(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _pairs(a, b)
 
 
+def _near(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose marks allow the overlap a link needs."""
+    for some in batches:
+        a, b = [], []
+        for left, right, own, other in rows_of([some]):
+            x, y = np.frombuffer(own, "<u2"), np.frombuffer(other, "<u2")
+            if _links(shared_marks(x, y), len(x), len(y)):
+                a.append(left)
+                b.append(right)
+        yield _pairs(a, b)
+
+
 def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sets link, from a text of each; rows of one ``a`` come together."""
-    numbers, last, x = WordNumbers(), None, None
+    """Pairs whose sets link."""
     for some in batches:
         a, b = [], []
         for left, right, own, other in rows_of([some]):
-            if left != last:
-                last, x = left, shingle_set(numbers(own.lower().split()), SIZE)
-            y = shingle_set(numbers(other.lower().split()), SIZE)
+            x, y = np.frombuffer(own, np.uint64), np.frombuffer(other, np.uint64)
             at = np.searchsorted(x, y)
             if _links(int((x[np.minimum(at, len(x) - 1)] == y).sum()), len(x), len(y)):
                 a.append(left)
@@ -311,10 +353,9 @@ class Join:
         return F.broadcast(written.frame) if fits_broadcast(written) else written.frame
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that link: first by their profiles' bound, then by their sets.
+        """The pairs (a, b) that link: first by the bounds of profiles and marks, then by their sets.
 
-        Profiles and texts are narrowed to the classes in question before they are joined. A
-        text is shuffled, not its set, which is several times larger.
+        Profiles, texts and sets are narrowed to the classes in question before they are joined.
         """
         both = lambda pairs, table, value: (
             pairs.join(table.select(F.col("node").alias("b"), F.col(value).alias("other")), "b")
@@ -336,8 +377,10 @@ class Join:
                 texts = scratch(texts, "texts")
                 texts = texts.where("copies = 1").union(
                     texts.where("copies > 1").dropDuplicates(["at", "text_hash", "node"]))
-            asked = scratch(texts.select("node", "text"), "asked_texts")
-            found = staged(both(able, asked, "text").mapInArrow(_verify, "a long, b long"), "found")
+            sets = scratch(texts.select("node", "text").mapInArrow(_sets, "node long, found binary, marks binary"), "sets")
+            near = scratch(both(able, sets, "marks").mapInArrow(_near, "a long, b long"), "near")
+            close = sets.join(self._narrow(staging, ends_of(near), "close"), "node", "left_semi")
+            found = staged(both(near, close, "found").mapInArrow(_verify, "a long, b long"), "found")
         staging.drop()
         return found
 

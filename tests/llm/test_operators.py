@@ -241,25 +241,33 @@ def test_jaccard_finds_links_beyond_pivots(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == label
 
 
-def test_jaccard_writes_no_entry_of_one_class_and_no_sets(spark, monkeypatch):
-    """What stands on disk at once follows what sets share and the texts, not all shingles."""
+def test_jaccard_writes_no_entry_of_one_class(spark, monkeypatch):
+    """What stands on disk at once follows what sets share, not all shingles."""
     texts = [" ".join(f"w{i}x{k}" for k in range(200)) for i in range(30)]
     made = [(i, text) for i, text in enumerate([*texts, texts[0], texts[1] + " end"])]
     wide = jaccard.Join(spark.createDataFrame(made, "doc_id long, text string"))
-    written, held = [], []
+    written = []
 
     def scratch(self, frame, name, write=jaccard.Scratch.__call__):
         table = write(self, frame, name)
         written.append((name, table.count()))
-        held.extend(max(map(len, row), default=0) for row in table.select(
-            *[c for c, kind in table.dtypes if kind == "binary" and name != "profiles"]).collect())
         return table
 
     monkeypatch.setattr(jaccard.Scratch, "__call__", scratch)
     label = {r.node: r.label for r in wide.labels().collect()}
     assert len(label) == 2 and len(set(label.values())) == 1
     assert max(rows for _, rows in written) <= 2 * 50  # 31 classes have some 50 entries each
-    assert max(held) <= max(len(text) for _, text in made)
+    assert dict(written)["near"] == 1  # equal texts are one class already
+
+
+def test_shared_marks_bound_the_overlap():
+    rng = np.random.default_rng(5)
+    for n, m, common in [(1, 1, 1), (900, 1100, 700), (5000, 4000, 0), (200_000, 150_000, 120_000)]:
+        drawn = rng.integers(0, 1 << 64, n + m - common, np.uint64)
+        x, y = np.unique(drawn[:n]), np.unique(drawn[n - common:])
+        marks = jaccard.marks_of(x), jaccard.marks_of(y)
+        assert jaccard.shared_marks(*marks) == sum((Counter(marks[0].tolist()) & Counter(marks[1].tolist())).values())
+        assert jaccard.shared_marks(*marks) >= len(np.intersect1d(x, y))
 
 
 def test_jaccard_lists_a_class_once_a_task(spark):
