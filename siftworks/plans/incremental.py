@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftworks.config import JobConfig
+from siftworks.functions.identity import packed, unpacked
 from siftworks.functions.periods import is_month
 from siftworks.functions.text import strip
 from siftworks.operators.attach import attach
@@ -36,7 +37,7 @@ from siftworks.operators.reference import Reference, category_values, read_refer
 from siftworks.plans import decide as plan
 from siftworks.presets import property_sales as sales
 from siftworks.sources import files
-from siftworks.staging import Staged, Staging, write_observed
+from siftworks.staging import DENSE, Staged, Staging, spent_shuffles, write_observed
 
 PARTITION = "_sw_month"
 MALFORMED = "malformed"
@@ -46,6 +47,10 @@ WIDENED = (
     ("resale_identifier_hash", "string"), ("resale_record_hash", "string"),
 )
 _EVIDENCE = list(sales.EVIDENCE)
+#: Hex digests, each row's own, that are shuffled in their binary form.
+_DIGESTS = [
+    plan.ROW_ID, "_key_hash", "_reference_source_record_id", "resale_identifier_hash", "resale_record_hash",
+]
 
 
 def partition_of(month: Column) -> Column:
@@ -139,8 +144,9 @@ def _widened(decided: DataFrame, staging: Staging) -> DataFrame:
 
 def _write_months(rows: DataFrame, folder: str) -> list[str]:
     """Write partitions and name them; months are few, whatever the rows."""
-    spread = rows.hint("rebalance", PARTITION)
-    spread.write.partitionBy(PARTITION).option("compression", "snappy").parquet(folder)
+    spread = rows.withColumns({c: packed(F.col(c)) for c in _DIGESTS}).hint("rebalance", PARTITION)
+    whole = spread.withColumns({c: unpacked(F.col(c)) for c in _DIGESTS})
+    whole.write.partitionBy(PARTITION).option("compression", DENSE).parquet(folder)
     written = files.folders(rows.sparkSession, folder)
     return sorted(name.removeprefix(f"{PARTITION}=") for name in written if name.startswith(f"{PARTITION}="))
 
@@ -149,12 +155,17 @@ def build(
     spark: SparkSession, rows: DataFrame, config: JobConfig, root: str, *, after: int = 0,
 ) -> Snapshot:
     """Decide all rows and publish them as a snapshot."""
+    with spent_shuffles(spark):
+        return _build(spark, rows, config, root, after)
+
+
+def _build(spark: SparkSession, rows: DataFrame, config: JobConfig, root: str, after: int) -> Snapshot:
     staging = Staging(spark)
     fresh = f"{root}/{uuid.uuid4().hex}"
     try:
         master = plan.write_master(rows, f"{staging.root}/master")
-        decided = plan.decide(master, config, staging)
-        decisions = staging.write(decided.frame, "decisions").frame
+        decided = plan.decide(master, config, staging, drop_master=True)
+        decisions = decided.staged(staging, "decisions").frame
         wide = _widened(decisions, staging)
         if not files.exists(spark, f"{root}/schema"):
             wide.where("false").write.parquet(f"{root}/schema")
@@ -254,7 +265,9 @@ def _new_statistics(
         F.explode(peer_groups(sales.PEER_LEVELS)).alias("g"), F.log(MEASURE).alias("x")
     ).select("g.*", "x")
     inside = attach(logs, touched.frame, touched, keys, spread=["x"]).where("_hit").select(*keys, "x")
-    again = log_quartiles(staging.write(inside, "logs").frame, sales.PEER_LEVELS, staging)
+    logs = staging.write_wide(inside, "logs")
+    again = log_quartiles(logs.frame, sales.PEER_LEVELS, staging)
+    logs.drop()
     renamed = touched.frame.select(*[F.col(k).alias(f"_{k}") for k in keys], "_hit")
     marked = old.join(renamed, _same(keys), "left").drop(*[f"_{k}" for k in keys])
     untouched = marked.where("_hit IS NULL").select(*old.columns)
@@ -323,6 +336,11 @@ def refresh(
     ``added`` has the columns of a master table; ``removed`` has the record id and the ``month``
     text of rows that go. A changed row is in both.
     """
+    with spent_shuffles(spark):
+        return _refresh(spark, root, added, removed)
+
+
+def _refresh(spark: SparkSession, root: str, added: DataFrame, removed: DataFrame) -> Snapshot:
     snapshot = newest(spark, root)
     config, columns = snapshot.config, snapshot.columns
     if sales.source_columns(added) != columns:
@@ -349,10 +367,10 @@ def refresh(
                 ascii_columns=new.ascii_columns), "assessed").frame
         keys = _affected_keys(kept, gone, assessed, staging)
         hit = attach(kept, keys.frame, keys, ["_key_hash"], spread=[plan.ROW_ID]).drop("_sw_n")
-        kept = staging.write(hit, "kept").frame
+        kept = staging.write_wide(hit, "kept").frame
         again, still = kept.where("_hit").drop("_hit"), kept.where("_hit IS NULL").drop("_hit")
         ranked, _ = plan.with_duplicates(_undecided(again).unionByName(assessed), staging)
-        ranked = staging.write(ranked, "ranked").frame
+        ranked = staging.write_wide(ranked, "ranked").frame
 
         old = snapshot.statistics_table()
         groups = _touched_groups(
@@ -366,7 +384,7 @@ def refresh(
 
         moved = _months_with_new_evidence(others, different, statistics, config)
         rows = _unfenced(snapshot.rows(moved)).unionByName(_unfenced(still)).unionByName(ranked)
-        decided = staging.write(plan.with_fences(rows, statistics, config), "decided").frame
+        decided = staging.write_wide(plan.with_fences(rows, statistics, config), "decided").frame
         written = _write_months(_widened(decided, staging), f"{fresh}/rows")
         rewritten = touched | moved
         months = {m: f for m, f in snapshot.months.items() if m not in rewritten}
