@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftworks.config import JobConfig
 from siftworks.functions.identity import record_id
 from siftworks.operators import drift
 from siftworks.operators.versions import APPROVALS
@@ -13,7 +14,7 @@ from siftworks.plans import decide as plan
 from siftworks.plans import incremental
 from siftworks.presets import property_sales as sales
 from siftworks.presets.sales_feed import FEED_APPROVALS, FEED_CONFIG, FEED_DIGEST, FEED_NAME, sales_feed
-from siftworks.staging import Staging, shared_folder
+from siftworks.staging import Staging, shared_folder, spent_shuffles
 
 #: Months of the feed that an earlier delivery had otherwise.
 CHANGED_MONTHS = ("1997-03", "1998-05")
@@ -79,11 +80,20 @@ def reference_as_of(spark, sf_dir):
         "reasons")
 
 
-def _measured(feed: DataFrame):
-    staging = Staging(feed.sparkSession)
-    master = plan.write_master(feed, f"{staging.root}/master")
-    decided = staging.write(plan.decide(master, FEED_CONFIG, staging).frame, "decided").frame
-    return baseline.measure(decided)
+def _measured(feed: DataFrame) -> list[DataFrame]:
+    return _measured_with(feed, FEED_CONFIG)
+
+
+def _measured_with(feed: DataFrame, config: JobConfig) -> list[DataFrame]:
+    """The measures of a decided feed, written; the rows they were taken of are not kept."""
+    spark = feed.sparkSession
+    staging, measures = Staging(spark), Staging(spark)
+    with spent_shuffles(spark):
+        master = plan.write_master(feed, f"{staging.root}/master")
+        decided = plan.decide(master, config, staging, drop_master=True).staged(staging, "decided")
+        found = [measures.write(m, "measured").frame for m in baseline.measure(decided.frame)]
+        staging.drop()
+    return found
 
 
 def _gate(before: DataFrame, after: DataFrame) -> DataFrame:
